@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosta.operators.instants import resolve_instants
+from rosta.operators.shredding import child_records
 from rosta.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every child record of the topic documents."""
+    out = child_records(table(spark, sf_dir, "topic_docs"), "file_id", "raw")
+    return out.select("file_id", F.col("place").alias("comment_pos"), "child", "child_key")
+
+
 def dated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """comments and ad_details as (src, row_id, origin, date, scraped_at, zone)."""
     columns = ["row_id", "origin", "date", "scraped_at"]
@@ -27,5 +34,5 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_instants(spark, sf_dir).filter("utc_ms is not null").select("src", "row_id", "utc_ms")
 
 
-QUERIES = {"p3_found": p3_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
 ORACLES: dict[str, str] = {}
