@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosta.llm.tokens import encode
+from rosta.llm.lookalikes import lookalike_pairs
+from rosta.llm.packing import fill, pack
+from rosta.llm.tokens import encode, token_counts
 from rosta.session import table
 
 
@@ -15,7 +17,29 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p8_ids": p8_ids}
+def _packs(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, int]]:
+    """The container sizes, a table of a few rows."""
+    return [(r.pack_name, r.tokenizer, r.capacity) for r in table(spark, sf_dir, "pack_sizes").collect()]
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, or piece of one longer than the capacity, in its container."""
+    packs = _packs(spark, sf_dir)
+    sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", sorted({t for _, t, _ in packs}))
+    return pack(sizes, "doc_id", "tokens", packs)
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers and unused room of each pack."""
+    return fill(p9_containers(spark, sf_dir), _packs(spark, sf_dir))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents that look the same but differ in their characters."""
+    return lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
 
 
