@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rosta.llm.lookalikes import lookalike_pairs
+from rosta.llm.mail import mail_lines, reduced
 from rosta.llm.packing import fill, pack
 from rosta.llm.tokens import encode, token_counts
 from rosta.session import table
@@ -39,7 +40,23 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
+def _mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments of the sites whose bodies are emails."""
+    origins = table(spark, sf_dir, "sites").filter("kind = 'mail'").select("origin")
+    return table(spark, sf_dir, "comments").select("row_id", "origin", "data").join(origins, "origin", "left_semi")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of emails that their sender did not newly write."""
+    return mail_lines(_mails(spark, sf_dir), "row_id", "data").filter("label <> 'new'").select("row_id", "line_no")
+
+
+def p6_new_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each email reduced to its new text."""
+    return reduced(_mails(spark, sf_dir), "row_id", "data")
+
+
+QUERIES = {"p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
 
 
