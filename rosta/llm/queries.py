@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rosta.llm.lookalikes import lookalike_pairs
 from rosta.llm.mail import mail_lines, reduced
 from rosta.llm.packing import fill, pack
+from rosta.llm.residue import residue
 from rosta.llm.tokens import encode, token_counts
 from rosta.session import table
 
@@ -56,7 +58,25 @@ def p6_new_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced(_mails(spark, sf_dir), "row_id", "data")
 
 
-QUERIES = {"p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
+def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts and titles as (src, row_id, origin, text)."""
+    posts = table(spark, sf_dir, "comments").select(F.lit("comments").alias("src"), "row_id", "origin", F.col("data").alias("text"))
+    titles = table(spark, sf_dir, "topic_info").select(F.lit("topic_info").alias("src"), "row_id", "origin", F.col("topic_title").alias("text"))
+    return posts.unionByName(titles)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts and titles that are residue of templates, fillers, error pages or script notices."""
+    return residue(_contents(spark, sf_dir), ["src", "row_id"], "origin", "text")
+
+
+def p5_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with real content: all others."""
+    contents = _contents(spark, sf_dir)
+    return contents.join(p5_found(spark, sf_dir), ["src", "row_id"], "left_anti").select("src", "row_id", "text")
+
+
+QUERIES = {"p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
 
 
