@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rosta.llm.lookalikes import lookalike_pairs
 from rosta.llm.mail import mail_lines, reduced
 from rosta.llm.packing import fill, pack
+from rosta.llm.personal import personal, redacted
 from rosta.llm.residue import residue
 from rosta.llm.tokens import encode, token_counts
 from rosta.session import table
@@ -76,7 +77,24 @@ def p5_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.join(p5_found(spark, sf_dir), ["src", "row_id"], "left_anti").select("src", "row_id", "text")
 
 
-QUERIES = {"p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts and ad descriptions as (src, row_id, origin, text)."""
+    posts = table(spark, sf_dir, "comments").select(F.lit("comments").alias("src"), "row_id", "origin", F.col("data").alias("text"))
+    ads = table(spark, sf_dir, "ad_details").select(F.lit("ad_details").alias("src"), "row_id", "origin", F.col("description").alias("text"))
+    return posts.unionByName(ads)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of personal information in each text."""
+    return personal(_texts(spark, sf_dir), ["src", "row_id"], "text").select("src", "row_id", "kind").distinct()
+
+
+def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text with placeholders for its personal information."""
+    return redacted(_texts(spark, sf_dir), ["src", "row_id"], "text")
+
+
+QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
 
 
