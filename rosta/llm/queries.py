@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosta.llm.abuse import LEAST, rates, scored
 from rosta.llm.lookalikes import lookalike_pairs
 from rosta.llm.mail import mail_lines, reduced
 from rosta.llm.packing import fill, pack
@@ -94,7 +95,22 @@ def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redacted(_texts(spark, sf_dir), ["src", "row_id"], "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
+def p4_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every comment."""
+    return scored(table(spark, sf_dir, "comments"), "row_id", "data")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Abusive, hateful or explicit comments."""
+    return p4_scores(spark, sf_dir).filter(F.col("score") >= LEAST).select("row_id")
+
+
+def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate of such comments for each origin."""
+    return rates(table(spark, sf_dir, "comments"), "row_id", "origin", "data")
+
+
+QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
 
 
