@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosta.llm import quality
 from rosta.llm.abuse import LEAST, rates, scored
 from rosta.llm.lookalikes import lookalike_pairs
 from rosta.llm.mail import mail_lines, reduced
@@ -110,7 +111,19 @@ def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(table(spark, sf_dir, "comments"), "row_id", "origin", "data")
 
 
-QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
+def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and outlierness of every text that is no email."""
+    common = [(r.lang, r.word) for r in table(spark, sf_dir, "common_words").collect()]  # a fixed list
+    mails = table(spark, sf_dir, "sites").filter("kind = 'mail'").select("origin")
+    return quality.scored(_texts(spark, sf_dir).join(mails, "origin", "left_anti"), ["src", "row_id"], "text", common)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are as a whole lists, tables or junk."""
+    return p7_statistics(spark, sf_dir).filter(f"distance >= {quality.LEAST} and not residue").select("src", "row_id")
+
+
+QUERIES = {"p7_found": p7_found, "p7_statistics": p7_statistics, "p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
 
 

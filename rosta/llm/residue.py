@@ -142,6 +142,8 @@ def _tries(line: str) -> set[int]:
 def coverage(line: str) -> tuple[int, int]:
     """(characters of words within evidence, characters of all words) of a folded line or text."""
     tries = _tries(line)
+    if not tries and len(line) > 200:
+        return 0, len(line)
     spans, slots = [], []
     if tries:
         spans = [m.span() for i in tries if i >= 0 for m in _EVIDENCE[i].finditer(line) if m.end() > m.start()]
