@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosta.plans import general
+from rosta.plans import general, reference
 
-MODULES = (general,)
+MODULES = (general, reference)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
