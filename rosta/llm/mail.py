@@ -122,7 +122,7 @@ def _scores(lines: list[str], i: int, near: list[int], place: int) -> list[float
 
 def label_lines(text: str) -> list[tuple[int, int]]:
     """(1-based line number, label) of every line that is not blank."""
-    lines = [line[:-1] if line.endswith("\r") else line for line in text.split("\n")]
+    lines = [(line[:-1] if line.endswith("\r") else line).replace("&nbsp;", " ").replace("\u00a0", " ") for line in text.split("\n")]
     near = [i for i, line in enumerate(lines) if line.strip()]
     scores = [_scores(lines, i, near, k) for k, i in enumerate(near)]
     if not any(scores):

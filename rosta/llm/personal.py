@@ -52,6 +52,7 @@ _HIDDEN = re.compile(
 # what every address, disguised or not, has in its middle
 _AT = re.compile(r"@|kukac|[(\[{<]\s*(?:at|ät|a t|собака)\s*[)\]}>]|\sat\s\w[\w-]*\s(?:dot|pont)\s")
 _DIGITS = re.compile(r"\d")
+_ENTITY = "&nbsp;"
 # parts of the labels, of which a text with a label has one
 _LABEL = ("személyi", "szem.", "szemszám", "szem ", "szig", "sz.ig", "sz. ig", "adóa", "adó a", "adók", "adói", "adó-", "taj", " tb", "tb-", "tb ", "t.b", "biztosítási", "ausweis", "sozialv", "steuer", "security", "ssn", "passport", "útlev", "снилс", "инн", "паспорт")
 _S = r"[\s ]"
@@ -88,7 +89,7 @@ def _names():  # noqa: ANN202
     machine = ahocorasick.Automaton()
     for name in GIVEN | {"".join(_PLAIN.get(c, c) for c in n) for n in GIVEN}:  # also written without accents
         stem = name[:-1] if name[-1] in "ae" else name
-        machine.add_word(stem, (name, re.compile(rf"{re.escape(stem)}(?:{name[-1]}|{'á' if name[-1] == 'a' else 'é'}{_CASE})(?!\w)" if name[-1] in "ae" else rf"{re.escape(name)}{_CASE}(?!\w)")))
+        machine.add_word(stem, (name, re.compile(rf"{re.escape(stem)}(?:{name[-1]}|[{'aá' if name[-1] == 'a' else 'eé'}]{_CASE})(?!\w)" if name[-1] in "ae" else rf"{re.escape(name)}{_CASE}(?!\w)")))
     machine.make_automaton()
     return machine
 
@@ -102,7 +103,7 @@ def _found_names(text: str, low: str) -> list[tuple[int, int]]:
     for end, (name, forms) in _names().iter(low):
         stem = len(name) - (name[-1] in "ae")
         at = end - stem + 1
-        if at < 3 or low[at - 1] not in " \t\n\r ":
+        if at < 3 or not low[at - 1].isspace():
             continue
         m = forms.match(low, at)
         if not m:
@@ -135,6 +136,13 @@ def _long_enough(number: str) -> bool:
 
 def seeds(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the identifiers that their form or label gives away."""
+    if _ENTITY in text:  # a written no-break space is one space; places are those of the text as it is
+        parts = text.split(_ENTITY)
+        place, at = [], 0
+        for part in parts:
+            place += range(at, at + len(part) + 1)
+            at += len(part) + len(_ENTITY)
+        return [(kind, place[a], place[b - 1] + 1) for kind, a, b in seeds(" ".join(parts))]
     low = text.lower()
     if len(low) != len(text):  # letters whose lower case is longer
         text = "".join(c if len(c.lower()) == 1 else "x" for c in text)

@@ -103,12 +103,17 @@ STATUS_STEMS = tuple(f"{w}{c}{d}" for w in ("http", "error", "hiba", "status", "
 
 
 def fold(text: str) -> str:
-    """Lower case without the accents of the sites' languages."""
+    """Lower case without the accents of the sites' languages, runs of spaces of any kind as one space."""
     text = text.lower()
     if not text.isascii():
         for letter, plain in FOLD:
             if letter in text:
                 text = text.replace(letter, plain)
+        text = text.replace("\u00a0", " ")
+    if "&nbsp;" in text:
+        text = text.replace("&nbsp;", " ")
+    while "  " in text:
+        text = text.replace("  ", " ")
     return text
 
 

@@ -13,7 +13,7 @@ CASES = {
     "személyi szám: 2 810123 4219": {"id_number"}, "szem. ig.: 168364 BP": {"id_number"}, "SZEMÉLYI SZÁMOM: 1-801118-6040": {"id_number"}, "adószám: 12345678-2-41": set(), "Azonosító: 82816715": set(),
     "Rétvár, Szövő u. 80/A": {"address"}, "H-6089 BODZAHALOM KŐRIS U. 34": {"address"}, "Iskola tér 9. A boltban": {"address"}, "A Malom utcában van a bolt": set(), "Az útvonal 55 km, a 8-as út felől": set(), "kész is a sor.": set(),
     "Kapcsolat: Iszkáni Ildikó": {"name"}, "A pénzt Lápasi Attilának adtam": {"name"}, "kerecsi attila": {"name"}, "RÁNCSI VILMOS": {"name"}, "dr. Orbáci-Urkomi Éva": {"name"}, "Szia Hedvig!": set(), "Kösz,\nRéka": set(), "Bodzás és Fia Kft.": set(),
-    "Beszéltem Kerecsi Bélával, ő is": {"name"},
+    "Beszéltem Kerecsi Bélával, ő is": {"name"}, "Beszéltem Kerecsi Rekaval, ő is": {"name"}, "Név: Kerecsi\u00a0Eszter": {"name"}, "Kerecsi&nbsp;Piroska,&nbsp;+36&nbsp;30&nbsp;071&nbsp;4811": {"name", "phone"},
 }
 
 
@@ -22,6 +22,11 @@ def test_sentences():
     assert not bad
 
 
+def test_places_of_written_spaces():
+    text = "Név:&nbsp;Kerecsi&nbsp;Eszter, szia"
+    assert [text[a:b] for _, a, b in seeds(text)] == ["Kerecsi&nbsp;Eszter"]
+
+
 def test_unseen_names_are_discovered_by_patterns(spark):
     known = ["Attila", "Béla", "Csaba", "Dénes", "Eszter", "Judit", "Kinga", "Tibor", "Zsolt", "Vilmos"]
     texts = [f"A számlát {f}i {g} névre kérem." for f in ("Orb", "Urk", "Lap") for g in known] + ["A számlát Baráti Szörénke névre kérem.", "Egy Durmontos Permetezős napon jött."]

@@ -7,7 +7,7 @@ from rosta.llm.residue import coverage, fold, residue
 YES = [
     "404 - Page not found", "Hiba 500 - Access denied\nAzonosító: 82816715", "Bad Gateway (502)\nVissza a főoldalra", "undefined", "null - null", "[object Object]", "Kedves {{ nev }}!", "#[cim] új hozzászólás érkezett",
     "Köszönjük, hogy regisztrált itt: [felhasznalo]. Üdvözlettel: @@SITE@@ csapata", "KEDVES <%= NEV %>!", "Lorem ipsum dolor sit amet consectetur", "Cím helye...", "Teszt teszt 123 teszt", "Minta szöveg minta szöveg.",
-    "A tartalom megjelenitesehez engedelyezze a JavaScriptet a bongeszojeben.", "Please enable JavaScript to view this page.", 'Traceback (most recent call last):\n  File "app.py", line 9, in render\nKeyError: \'body\'', "${datum} - {{cim}}",
+    "A tartalom megjelenitesehez engedelyezze a JavaScriptet a bongeszojeben.", "Please enable JavaScript to view this page.", "Please&nbsp;enable\u00a0JavaScript  to view this page.", 'Traceback (most recent call last):\n  File "app.py", line 9, in render\nKeyError: \'body\'', "${datum} - {{cim}}",
 ]
 NO = [
     "404-es hiba a Gonkel oldalán?", "Miért kell JavaScript a Durmont honlaphoz?", "Lorem ipsum: mire jó a fólia leírásában?", "A nyomdász lorem ipsum szöveget tett a plakátra, azon nevettünk.", "Köszi!", "off", "???", " ", "",
