@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosta.session import written
+
 # Letters that look like a plain Latin letter, by the Latin letter.
 LOOKALIKES = {
     "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СϹᏟ", "D": "Ꭰ", "E": "ЕΕᎬ", "H": "НΗᎻ", "I": "ІΙӀ", "J": "ЈͿᎫ", "K": "КΚᏦ", "L": "ԼᏞ", "M": "МΜᎷ",
@@ -229,7 +231,8 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, given.column(0).type), pa.array(looks, pa.binary()), pa.array(texts, pa.binary())], names=["id", "look", "variant"])
 
     kind = dict(df.dtypes)[key]
-    rows = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"id {kind}, look binary, variant binary")
+    hashed = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"id {kind}, look binary, variant binary")
+    rows = written(hashed, "looks")  # two hashes a row: the texts are read and unified once
     # groups with several variants, found by two running extremes per group: no group is collected
     mixed = rows.groupBy("look").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).filter("low <> high").select("look")
     members = rows.join(mixed, "look", "left_semi")
