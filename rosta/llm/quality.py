@@ -23,6 +23,7 @@ from rosta.session import written
 
 STATISTICS = ("common_share", "log_mean_word", "symbol_ratio", "digit_ratio", "separator_rate", "end_share", "log_words_per_line", "repeat_share", "vowel_share", "log_longest_word", "mixed_share", "line_break_rate", "cluster_share")
 COUNTS = ("chars", "words", "lines")
+WHOLE = ("text_chars", "text_words", "text_lines")  # counts of the text as it is
 LENGTHS = (8, 20)  # words up to which a text is short or middling
 LETTER, DIGIT, BLANK, BREAK, POINT, SEPARATOR, SYMBOL, VOWEL = range(8)
 
@@ -164,13 +165,16 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
     return values, np.stack([size - 1, words, lines], axis=1), language
 
 
-def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int = 20) -> DataFrame:
-    """(keys, language, residue, chars, words, lines, one column per statistic) of every text of at least ``least`` characters.
+def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20) -> DataFrame:
+    """(keys, language, residue, contact, chars, words, lines, one column per statistic, the same of the whole text) of every text of at least ``least`` characters.
 
-    residue: whether evidence of templates, fillers or notices covers most of the text.
+    residue: whether evidence of templates, fillers or notices covers most of the text. contact: whether it is all contact data.
+    chars, words, lines and the statistics leave out lines of contact data around a text, unless it is all contact data; text_chars,
+    text_words, text_lines and text_statistics (an array in the order of ``STATISTICS``) are those of the whole text.
 
     common: (language, word) rows, a fixed list of frequent words. A text without any of them has the language ``default``.
-    Null, empty, blank and shorter texts give no rows. Lines of contact data around a text are left out of its statistics.
+    Null, empty, blank and shorter texts give no rows. With ``least`` None every text gives a row: one without visible characters
+    has no language, counts of 0 but text_chars, and statistics of 0; a null text has null for text_chars, text_words, text_lines and text_statistics.
     """
     languages = sorted({lang for lang, _ in common} | {default})
     table: dict[str, int] = {}
@@ -178,27 +182,56 @@ def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str,
         for form in {word.lower(), _fold(word.lower())}:
             table[form] = table.get(form, 0) | 1 << languages.index(lang)
     names = [f"_k{i}" for i in range(len(keys))]
-    base = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{text}`").alias("_text")).filter(F.length("_text") >= least)
+    base = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{text}`").alias("_text"))
+    if least is not None:
+        base = base.filter(F.length("_text") >= least)
     types = dict(base.dtypes)
 
+    def count(texts: list[str]):  # noqa: ANN202
+        return statistics(texts, table, len(languages)) if texts else (np.empty((0, len(STATISTICS))), np.empty((0, 3), np.int64), np.empty(0, np.int64))
+
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
         for given in batches:
-            pairs = [(i, c) for i, t in enumerate(given.column("_text").to_pylist()) if len(t) >= least and (c := core(t)).strip()]
-            pick = pa.array([i for i, _ in pairs], pa.int64())
-            values, counts, language = statistics([c for _, c in pairs], table, len(languages)) if pairs else (np.empty((0, len(STATISTICS))), np.empty((0, 3), np.int64), np.empty(0, np.int64))
-            arrays = [given.column(n).take(pick) for n in names]
-            arrays.append(pa.array([languages[k] if k >= 0 else default for k in language.tolist()], pa.string()))
-            arrays.append(pa.array([_residue(c) for _, c in pairs], pa.bool_()))
+            texts = given.column("_text").to_pylist()
+            cores = [core(t) if t else "" for t in texts]
+            contact = [not c.strip() and bool(t) and bool(t.replace("&nbsp;", " ").strip()) for t, c in zip(texts, cores, strict=True)]
+            if least is not None:
+                keep = [i for i, (t, c) in enumerate(zip(texts, cores, strict=True)) if len(t) >= least and c.strip()]
+                given, texts, cores, contact = given.take(pa.array(keep, pa.int64())), [texts[i] for i in keep], [cores[i] for i in keep], [contact[i] for i in keep]
+            wholes = [t.replace("&nbsp;", " ") if t else "" for t in texts]
+            cores = [w if k else c for w, c, k in zip(wholes, cores, contact, strict=True)]
+            seen = np.array([i for i, c in enumerate(cores) if c.strip()], np.int64)
+            cut = [i for i in seen.tolist() if wholes[i] != cores[i]]  # the whole of all others is their core
+            values, counts, language = np.zeros((len(texts), len(STATISTICS))), np.zeros((len(texts), 3), np.int64), np.full(len(texts), -2)
+            values[seen], counts[seen], language[seen] = count([cores[i] for i in seen.tolist()])
+            whole, sizes = values.copy(), counts.copy()
+            whole[cut], sizes[cut], _ = count([wholes[i] for i in cut])
+            sizes[:, 0] = [len(t or "") for t in texts]
+            null = np.array([t is None for t in texts], bool)
+            arrays = [given.column(n) for n in names]
+            arrays.append(pa.array([languages[k] if k >= 0 else default if k == -1 else None for k in language.tolist()], pa.string()))
+            arrays.append(pa.array([bool(c) and _residue(c) for c in cores], pa.bool_()))
+            arrays.append(pa.array(contact, pa.bool_()))
             arrays += [pa.array(counts[:, k], pa.int64()) for k in range(3)]
             arrays += [pa.array(values[:, k], pa.float64()) for k in range(len(STATISTICS))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "language", "residue", *COUNTS, *STATISTICS])
+            arrays += [pa.array(sizes[:, k], pa.int64(), mask=null) for k in range(3)]
+            arrays.append(_lists(whole, null))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "language", "residue", "contact", *COUNTS, *STATISTICS, *WHOLE, "text_statistics"])
 
-    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", language string, residue boolean, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(f"{s} double" for s in STATISTICS)
+    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", language string, residue boolean, contact boolean, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(f"{s} double" for s in STATISTICS) + ", " + ", ".join(f"{c} bigint" for c in WHOLE) + ", text_statistics array<double>"
     return base.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keys, strict=True)))
 
 
+def _lists(values: np.ndarray, null: np.ndarray):  # noqa: ANN202
+    """The rows of ``values`` as an Arrow array of lists, null where ``null``."""
+    import pyarrow as pa
+
+    ends = np.concatenate([[0], np.cumsum(~null)]) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[~null].reshape(-1), pa.float64()), mask=pa.array(null))
+
+
 def _residue(text: str) -> bool:
     inside, total = coverage(fold(text))
     return inside > 0 and inside >= 0.6 * total
@@ -210,6 +243,8 @@ def _fold(word: str) -> str:
 
 #: A model: group to (mean, inverse covariance).
 Model = dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
+#: The group whose model serves groups without one: all texts together.
+OTHER = ("", -1)
 #: Smallest deviations of the statistics, so that one that hardly varies in prose does not decide alone.
 FLOOR = np.array([0.08, 0.15, 0.02, 0.03, 0.10, 0.25, 0.45, 0.15, 0.04, 0.25, 0.06, 0.06, 0.04])
 
@@ -252,6 +287,9 @@ def prose_model(stats: DataFrame, steps: int = 3, cutoff: float = 26.2, fewest:
             mean, covariance = _moments(own)
             fresh[g] = (mean, np.linalg.inv(covariance))
         model = fresh
+    if model:
+        mean, covariance = _moments(everything) if everything[0] >= 2 else (None, None)
+        model[OTHER] = (mean, np.linalg.inv(covariance)) if mean is not None else model[min(model)]
     return model
 
 
@@ -296,7 +334,10 @@ def _sums(grouped: DataFrame, model: Model, cutoff: float) -> dict[tuple[str, in
 
 
 def outlierness(stats: DataFrame, model: Model) -> DataFrame:
-    """``stats`` with ``distance`` and ``contributions`` (an array in the order of ``STATISTICS`` that sums to the distance)."""
+    """``stats`` with ``distance`` and ``contributions`` (an array in the order of ``STATISTICS`` that sums to the distance).
+
+    Both are null for texts without visible characters, which have no language, and under a model of no texts at all.
+    """
     grouped = _group(stats)
     kinds = dict(grouped.dtypes)
     keep = [c for c in grouped.columns if c != "_size"]
@@ -308,16 +349,20 @@ def outlierness(stats: DataFrame, model: Model) -> DataFrame:
             values = np.stack([given.column(s).to_numpy() for s in STATISTICS], axis=1)
             groups = [*zip(given.column("language").to_pylist(), given.column("_size").to_pylist(), strict=True)]
             distance, parts = np.zeros(len(groups)), np.zeros(values.shape)
+            none = np.array([x[0] is None or not model for x in groups], bool)
             for g in set(groups):
-                mine = np.array([x == g for x in groups])
-                distance[mine], parts[mine] = _distances(values[mine], model[g])
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(groups) + 1) * len(STATISTICS), pa.int32()), pa.array(parts.reshape(-1), pa.float64()))
-            yield pa.RecordBatch.from_arrays([*[given.column(c) for c in keep], pa.array(distance, pa.float64()), flat], names=[*keep, "distance", "contributions"])
+                mine = np.array([x == g for x in groups]) & ~none
+                if mine.any():
+                    distance[mine], parts[mine] = _distances(values[mine], model.get(g) or model[OTHER])
+            yield pa.RecordBatch.from_arrays([*[given.column(c) for c in keep], pa.array(distance, pa.float64(), mask=none), _lists(parts, none)], names=[*keep, "distance", "contributions"])
 
     return grouped.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", distance double, contributions array<double>")
 
 
-def scored(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu") -> DataFrame:
-    """Statistics, outlierness and contributions of every text of at least 20 characters, under the prose model of all texts."""
-    stats = written(measured(df, keys, text, common, default), "quality")
-    return outlierness(stats, prose_model(stats))
+def scored(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20, within: str | None = None) -> DataFrame:
+    """Statistics, outlierness and contributions of every text of at least ``least`` characters (None: of every text), under one prose model.
+
+    within: condition on the rows over which the model is estimated; all rows if None.
+    """
+    stats = written(measured(df, keys, text, common, default, least), "quality")
+    return outlierness(stats, prose_model(stats.filter(within) if within else stats))

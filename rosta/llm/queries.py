@@ -111,16 +111,21 @@ def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(table(spark, sf_dir, "comments"), "row_id", "origin", "data")
 
 
+#: Which rows of the statistics can be cases of p7_found; the prose model is estimated over them.
+JUDGED = "not mail and text_chars >= 20 and language is not null and not contact"
+
+
 def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics and outlierness of every text that is no email."""
+    """Statistics and outlierness of every text, emails (mail), null and empty ones among them."""
     common = [(r.lang, r.word) for r in table(spark, sf_dir, "common_words").collect()]  # a fixed list
-    mails = table(spark, sf_dir, "sites").filter("kind = 'mail'").select("origin")
-    return quality.scored(_texts(spark, sf_dir).join(mails, "origin", "left_anti"), ["src", "row_id"], "text", common)
+    mails = table(spark, sf_dir, "sites").filter("kind = 'mail'").select("origin", F.lit(True).alias("mail")).distinct()
+    texts = _texts(spark, sf_dir).join(mails, "origin", "left").withColumn("mail", F.coalesce("mail", F.lit(False)))
+    return quality.scored(texts, ["src", "row_id", "mail"], "text", common, least=None, within=JUDGED)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that are as a whole lists, tables or junk."""
-    return p7_statistics(spark, sf_dir).filter(f"distance >= {quality.LEAST} and not residue").select("src", "row_id")
+    return p7_statistics(spark, sf_dir).filter(f"{JUDGED} and distance >= {quality.LEAST} and not residue").select("src", "row_id")
 
 
 QUERIES = {"p7_found": p7_found, "p7_statistics": p7_statistics, "p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}

@@ -51,3 +51,32 @@ def test_core_and_edges(spark):
     assert sorted(r.id or 0 for r in out) == [0, 5, 6, 6]
     assert scored(df.limit(0), ["id"], "t", COMMON).count() == 0
     assert measured(df, ["id"], "t", []).count() == 4
+
+
+def test_every_text_has_a_row(spark):
+    long = "Kapcsolat: Kisi Béla\nTelefon: 06 30 123 45 67\n" + PROSE.format(*WORDS[:4])
+    rows = [(1, None, False), (2, "", False), (3, " \n ", False), (4, "rövid", False), (5, "06 30 123 45 67", False), (6, long, False), (7, "The best of it is the end and the rest.", True), (7, "&nbsp;", False), (None, "rövid", False)]
+    rows += [(10 + i, prose(random.Random(i)), False) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, t string, mail boolean")
+    out = scored(df, ["id", "mail"], "t", COMMON, least=None, within="not mail and text_chars >= 20").collect()
+    assert len(out) == len(rows)
+    at = {(r.id, r.mail): r for r in out}
+    assert at[1, False].text_chars is None and at[1, False].text_statistics is None and at[1, False].words == 0 and at[1, False].distance is None
+    assert all(at[k, False].text_chars == n and at[k, False].words == at[k, False].text_lines == 0 and at[k, False].distance is None for k, n in ((2, 0), (3, 3), (7, 6)))
+    assert all(abs(sum(at[k].contributions) - at[k].distance) < 1e-6 * max(1, at[k].distance) for k in ((4, False), (5, False), (7, True), (None, False)))
+    assert at[5, False].contact and at[5, False].text_words == at[5, False].words == 5 and not at[6, False].contact
+    values, counts, _ = statistics([long], {w: 1 for _, w in COMMON[:9]}, 1)
+    assert [at[6, False][c] for c in ("text_chars", "text_words", "text_lines")] == counts[0].tolist() and at[6, False].lines == 1
+    assert np.allclose(at[6, False].text_statistics, values[0])
+
+
+def test_query_has_all_texts(spark, sf_dir):
+    from rosta.llm.queries import p7_found, p7_statistics
+
+    got = p7_statistics(spark, sf_dir)
+    tables = [spark.read.parquet(f"{sf_dir}/{t}.parquet").select(F.lit(t).alias("src"), "row_id", F.col(c).alias("t")) for t, c in (("comments", "data"), ("ad_details", "description"))]
+    texts = tables[0].unionByName(tables[1])
+    assert got.count() == texts.count() and texts.join(got, ["src", "row_id"], "left_anti").count() == 0
+    assert got.join(texts.filter("length(t) > 0 and t rlike '[a-z]'"), ["src", "row_id"]).filter("distance is null or text_chars <> length(t)").count() == 0
+    found = p7_found(spark, sf_dir).join(got.filter("not mail and text_chars >= 20 and not residue"), ["src", "row_id"], "left_anti")
+    assert found.count() == 0
