@@ -1,14 +1,15 @@
 """Abusive, hateful and sexually explicit language: a score for every text, and rates by source.
 
 Terms of a lexicon are found in any spelling: without accents, in capitals, stretched, spaced out, masked with stars, with
-digits for letters, and, near words that address someone, misspelled: there a Levenshtein automaton for the written word is
-run over the trie of the lexicon. What surrounds a term decides what it counts: words of address raise it, quotation and
+digits for letters, and misspelled: a Levenshtein automaton for every word that is no known one is run over the trie of the
+lexicon. Known words are the lexicon's, a fixed list of ordinary ones, and those the texts use too often for a misspelling. What surrounds a term decides what it counts: words of address raise it, quotation and
 mention lower it. Phrases that degrade a group, threaten, or are explicit count by themselves.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -34,9 +35,17 @@ PHRASES = {
 }
 # Words of address and of predication about a person (they raise a term near them), and of mention (they lower it).
 ADDRESS = frozenset("te ti vagy vagytok anyad anyadba rad teged neked nektek magad magadnak eszed idefigyelj he na embert bolondja ir irsz irja forumtarsam szerencsetlen szanalmas mind tudod menj hallgass kepzeld you your youre are u du dich dir bist ihr euch ты вы тебя вас".split())
-# The words of address that stand right before what someone is called.
-_DIRECT = frozenset("te ti vagytok idefigyelj he na szerencsetlen szanalmas you du bist ihr ты".split())
+# Ordinary words, folded, that are as near to a term as a misspelling of it.
+ORDINARY = frozenset(
+    """harom baron karom varom zarom marom barok helye hulle kurta durva kuria kereten marka marna maria marta marja martha mocsot kocog kocsig kocsik picas pica pacsa csovek csovet csoven csovel csovei debit mobil
+    panaszt faraszt maraszt parasit nyomorok szityok hattyu kafka lotto szajba szajra szajka szajna szajat modon mormon boron morog soron koron toron moros maroon idiom batch botch butch birch ditch hitch pitch witch itch
+    tucker sucker pucker zucker bucker reward regard petard where whole shore chore whose wore whorl mirthless toothless crash brash thrash rash loses lower closer laser poser lover loner looser leser moser user lose
+    schlappe wechsel wachser nummer hummer kummer summer dimmer drummer dumme trotter trotted schein schweiz sult бурак мазь дебит котел тугой скупой лупой чудак судак tettes terves rohadok rohadnek rohadik
+    regeneralt regeneralta regeneralo generalta shut here""".split()
+)
 MENTION = frozenset("szo szot szavat szavak kifejezes kifejezest idezet idezem irta mondta nevezte hivta nevezett forditasa jelentese jelent szotar word words quote quoted said called means wort zitat sagte nannte слово цитата сказал".split())
+#: What a misspelled term keeps of its weight by edits. A word is ordinary if at least OFTEN texts have it and at least SHARE times as many as have the term.
+KEPT, OFTEN, SHARE = (1.0, 0.9, 0.8), 5, 0.25
 #: What a term gains by address, keeps in quotation, and the score from which a text counts.
 GAIN, QUOTED, LEAST = 0.5, 0.3, 1.0
 
@@ -79,22 +88,28 @@ class Trie:
                 node = node.setdefault(c, {})
             node[""] = word
 
-    def near(self, word: str, most: int) -> list[tuple[str, int]]:
-        """(term, distance) of all terms within ``most`` edits; states of the automaton are rows of distances cut at ``most``."""
-        out: list[tuple[str, int]] = []
-        start = list(range(len(word) + 1))
-        stack = [(self.root, start)]
+    def near(self, word: str, most: int, swaps: bool = False) -> list[tuple[str, int]]:
+        """(term, distance) of all terms within ``most`` edits; with ``swaps`` two letters in each other's place are one edit."""
+        return [(term, row[-1]) for term, row in self.rows(word, most, swaps) if row[-1] <= most]
+
+    def rows(self, word: str, most: int, swaps: bool) -> list[tuple[str, list[int]]]:
+        """(term, its distance to each prefix of ``word``) where one is within ``most``; states of the automaton are rows of distances cut at ``most``."""
+        out: list[tuple[str, list[int]]] = []
+        stack = [(self.root, [*range(len(word) + 1)], [], "")]
         while stack:
-            node, row = stack.pop()
-            if "" in node and row[-1] <= most:
-                out.append((node[""], row[-1]))
+            node, row, before, last = stack.pop()
+            if "" in node and min(row) <= most:
+                out.append((node[""], row))
             for c, below in node.items():
                 if c:
                     new = [row[0] + 1]
                     for i, w in enumerate(word):
-                        new.append(min(row[i + 1] + 1, new[i] + 1, row[i] + (w != c)))
-                    if min(new) <= most:
-                        stack.append((below, new))
+                        cost = min(row[i + 1] + 1, new[i] + 1, row[i] + (w != c))
+                        if swaps and before and i and w == last and word[i - 1] == c:
+                            cost = min(cost, before[i - 1] + 1)
+                        new.append(cost)
+                    if min(new) <= most or (swaps and min(row) < most):
+                        stack.append((below, new, row, c))
         return out
 
 
@@ -106,9 +121,6 @@ def _tools():  # noqa: ANN202
     machine = ahocorasick.Automaton()
     for term, weight in terms.items():
         machine.add_word(term, ("term", term, weight))
-    for word in _DIRECT:
-        machine.add_word(f" {word} ", ("direct", word, 0.0))
-        machine.add_word(f" {word},", ("direct", word, 0.0))
     for phrase, weight in PHRASES.items():
         machine.add_word(phrase, ("phrase", phrase, weight))
     machine.make_automaton()
@@ -116,26 +128,41 @@ def _tools():  # noqa: ANN202
     for term in terms:
         for tail in (1, 2, 3):
             masks.setdefault((term[0], term[-tail:], len(term)), term)
-    return terms, machine, masks, Trie([t for t in terms if len(t) >= 5])
+    return terms, machine, masks, Trie([*terms]), max(map(len, terms))
 
 
 @lru_cache(200_000)
-def _misspelled(word: str) -> str | None:
-    """The term that a word near words of address misspells: one edit from six letters on, two from nine on."""
-    if len(word) < 6 or len(word) > 14:
+def looked_up(word: str) -> tuple[str, int] | None:
+    """(term, edits) of the term that a word is (0 edits) or misspells, with or without a case ending; None for ordinary words.
+
+    One edit, a swap among them, up to eight letters, two from nine on. Of a term of four letters, one edit in which makes a
+    great many ordinary words, only swaps and doubled letters are misspellings. Endings count behind six letters or more.
+    """
+    _, _, _, trie, longest = _tools()
+    if not 4 <= len(word) <= longest + 7 or word in ORDINARY:
         return None
-    found = [(d, t) for t, d in _tools()[3].near(word, 2 if len(word) >= 9 else 1) if 0 < d and len(t) >= 6]
-    return min(found)[1] if found else None
+    term = _known(word)
+    if term:
+        return term, 0
+    best: tuple[int, int, str] | None = None
+    for term, row in trie.rows(word, 2 if len(word) >= 9 else 1, True):
+        for j in range(len(word), 3, -1):
+            if not 0 < row[j] <= (2 if j >= 9 and len(term) >= 6 else 1) or word[:j] in ORDINARY:
+                continue
+            if j < len(word) and (len(term) < 6 or j < 6 or not _ENDINGS.match(word[j:])):
+                continue
+            if len(term) == 4 and not (sorted(term) == sorted(word) or re.sub(r"(.)\1", r"\1", word) == re.sub(r"(.)\1", r"\1", term)):
+                continue
+            if best is None or (row[j], len(word) - j, term) < best:
+                best = (row[j], len(word) - j, term)
+    return (best[2], best[0]) if best else None
 
 
-def hits(text: str) -> list[tuple[int, int, str, float]]:
-    """(start, end, term, weight) of terms and phrases in a folded text, weights without context."""
-    terms, machine, masks, _ = _tools()
+def hits(text: str, ordinary: frozenset[str] = frozenset()) -> list[tuple[int, int, str, float]]:
+    """(start, end, term, weight) of terms and phrases in a folded text, weights without context; ``ordinary`` words misspell none."""
+    terms, machine, masks, *_ = _tools()
     out = []
     for end, (kind, term, weight) in machine.iter(text):
-        if kind == "direct":
-            out += _near(text, end)
-            continue
         at = end - len(term) + 1
         if at and text[at - 1].isalnum():
             continue
@@ -172,6 +199,12 @@ def hits(text: str) -> list[tuple[int, int, str, float]]:
         term = _known(_plain(text[a:b], 1)) or _known(_plain(text[a:b], 2))
         if term:
             out.append((a, b, term, terms[term]))
+    wrong = {w: found for w in set(_WORD.findall(text)) if (found := looked_up(w)) and found[1] and w not in ordinary}
+    taken = [(a, b) for a, b, _, _ in out]
+    for m in _WORD.finditer(text) if wrong else ():
+        if m.group() in wrong and all(b <= m.start() or a >= m.end() for a, b in taken):  # one word counts once
+            term, edits = wrong[m.group()]
+            out.append((*m.span(), term, terms[term] * KEPT[edits]))
     return out
 
 
@@ -184,18 +217,6 @@ def _token(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def _near(text: str, at: int) -> list[tuple[int, int, str, float]]:
-    """Misspelled terms among the three words after a word of address, in the same sentence."""
-    out = []
-    for k, m in enumerate(_WORD.finditer(text, at, at + 60)):
-        if k == 3 or ". " in text[at : m.start()]:
-            break
-        term = _misspelled(m.group()) if len(m.group()) >= 6 else None
-        if term:
-            out.append((*m.span(), term, INSULTS.get(term, 0.5) * 0.8))
-    return out
-
-
 def _plain(word: str, most: int) -> str:
     """Letters that stand three times or more, ``most`` times."""
     return re.sub(r"(.)\1{2,}", lambda m: m[1] * most, word)
@@ -210,10 +231,10 @@ def _known(word: str) -> str | None:
     return None
 
 
-def score(text: str) -> tuple[float, str | None]:
-    """(score, the term that counts most) of a text."""
+def score(text: str, ordinary: frozenset[str] = frozenset()) -> tuple[float, str | None]:
+    """(score, the term that counts most) of a text; ``ordinary`` words misspell no term."""
     low = f" {fold(text)} "
-    found = hits(low)
+    found = hits(low, ordinary)
     if not found:
         return 0.0, None
     words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(low)]
@@ -236,18 +257,39 @@ def score(text: str) -> tuple[float, str | None]:
     return round(total, 4), top
 
 
+def frequent(df: DataFrame, text: str) -> frozenset[str]:
+    """Words near a term that too many texts have for a misspelling of it. The driver receives one row per term and per such word of ``OFTEN`` texts."""
+
+    def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        counts: Counter[str] = Counter()
+        for given in batches:
+            for t in given.column(0).to_pylist():
+                counts.update(w for w in set(_WORD.findall(fold(t))) if looked_up(w))
+        rows = [(*looked_up(w), w, n) for w, n in counts.items()]
+        columns = [*zip(*rows, strict=True)] or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.int32(), pa.string(), pa.int64()], strict=True)], names=["term", "edits", "word", "n"])
+
+    words = df.select(F.col(f"`{text}`").alias("_text")).filter("_text <> ''").mapInArrow(run, "term string, edits int, word string, n bigint")
+    rows = words.groupBy("term", F.when(F.col("edits") > 0, F.col("word")).alias("word")).agg(F.sum("n").alias("n")).filter(f"word is null or n >= {OFTEN}").collect()
+    of = {r.term: r.n for r in rows if r.word is None}
+    return frozenset(r.word for r in rows if r.word is not None and r.n >= SHARE * of.get(r.term, 0))
+
+
 def scored(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, score, term) for every row; a null or empty text scores 0.
 
     Scores from ``LEAST`` on mean that the text is abusive, hateful or explicit. Repeated rows give repeated results; further columns
     of any name are ignored. Whole texts of any length are read.
     """
+    ordinary = frequent(df, text)
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
         for given in batches:
-            rows = [score(t) if t else (0.0, None) for t in given.column(1).to_pylist()]
+            rows = [score(t, ordinary) if t else (0.0, None) for t in given.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([given.column(0), pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.string())], names=["_key", "score", "term"])
 
     kind = dict(df.dtypes)[key]

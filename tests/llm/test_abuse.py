@@ -50,3 +50,24 @@ def test_edges(spark):
     assert {r.o: (r.texts, r.abusive) for r in rates(df, "id", "o", "t").collect()} == {"a": (2, 0), "b": (2, 2), None: (1, 0)}
     assert scored(df.limit(0), "id", "t").count() == 0
     assert fold("Árvíz  X") == "arviz x"
+
+
+@pytest.mark.parametrize("text", ["Egy rohaddek vagy.", "Te huyle, ehhez mit értesz?", "Idoita vagy, hallgass.", "Micsoda barrom vagy.", "Bnukó vagy, te.", "Hülje, aki ezt írta, te vagy az.", "you are a mroon", "Szarházzi, menj innen, vagy szólok."])
+def test_misspelled_anywhere(text):
+    assert score(text)[0] >= LEAST
+
+
+@pytest.mark.parametrize("text", ["Te három helyen keresd, vagy itt.", "Durva vagy kurta legyen, te döntesz.", "You know where the shore is.", "Te is láttál hattyút, vagy csak szajkó volt?", "Ha neked jó helye van, vagy marad."])
+def test_ordinary_words_near_a_term(text):
+    assert score(text)[0] < LEAST
+
+
+def test_swaps_are_one_edit():
+    trie = Trie(["hulye", "idiota"])
+    assert trie.near("huyle", 1, True) == [("hulye", 1)] and trie.near("huyle", 1) == []
+    assert trie.near("idoita", 1, True) == [("idiota", 1)] and trie.near("diiota", 1, True) == [("idiota", 1)] and trie.near("idioat", 1, True) == [("idiota", 1)]
+
+
+def test_frequent_words_are_no_misspellings(spark):
+    rows = [(i, "Te a moson ülsz.") for i in range(6)] + [(6, "Te moran!")]
+    assert {r.id: r.score >= LEAST for r in scored(spark.createDataFrame(rows, "id int, t string"), "id", "t").collect()} == {**{i: False for i in range(6)}, 6: True}
