@@ -2,7 +2,8 @@
 
 Seeds are identifiers that their own form or a label beside them gives away: e-mail addresses (also disguised ones), phone
 numbers, labelled identity numbers, street addresses, and a family name before a known given name. Every seed and every weak
-candidate (a pair of capitalised words, a number of the length of an identifier) is an instance in a lexical pattern, the words
+candidate (a pair of words, a number of the length of an identifier, digit groups, a word with a number, words joined by any
+sign and a dot) is an instance in a lexical pattern, the words
 around it. Spark scores the graph of patterns and instances in rounds: a pattern is as good as the share of its instances that
 are good, an instance as good as its patterns; weak candidates in high-confidence patterns are identifiers too.
 """
@@ -76,6 +77,13 @@ _UNITS = frozenset("km m cm mm kg g db ft perc óra nap hét hónap év éves fo
 _NO_NAME = frozenset("a az egy két három sok több néhány minden ez ezt azt hosszú rövid első második utolsó fő rossz jó nagy kis hosszabb vissza ki be el fel le haza és vagy as es os ös -as vége a/az".split())
 _PAIR = re.compile(r"(?<![\w.-])([A-ZÁÉÍÓÖŐÚÜŰÄ][a-záéíóöőúüűäß]{2,}(?:-[A-ZÁÉÍÓÖŐÚÜŰÄ][a-záéíóöőúüűäß]{2,})?)[ \t ]+([A-ZÁÉÍÓÖŐÚÜŰÄ][a-záéíóöőúüűäß]{2,})(?![\w-])")
 _BARE = re.compile(r"(?<![\w/.,+-])(?<!\d )(?:\d{9,11}|\d{3}[ -]\d{3}[ -]\d{3}|[1-8][ -]\d{6}[ -]\d{4}|\d{6} ?[A-Z]{2})(?![\w/-])(?! \d)")
+_GROUPS = re.compile(r"\d(?<![\w/.,-]\d)(?<!\d \d)[\d ()/.-]{5,18}\d(?![\w/-])(?! \d)")
+_NUMBER = re.compile(r"[  ]\d{1,4}(?:[/-]\d{1,3}|/?[A-Za-z])?(?!\w)")
+_NUMBERED = re.compile(rf"(?<![\w.-])({_WORD}{{3,}})\.?[  ]*$")
+_AFTER = re.compile(rf"\.?[\s-]?({_WORD}*)")
+_SIGN = r"(?:[^\w\s.,;:/'\"-]{1,3}|[(\[{<*]\s?[^\W\d_]{1,8}\s?[)\]}>*])"
+_JOINED = re.compile(rf"(?<![\w/])\w[\w.+-]*\s?{_SIGN}\s?\w[\w-]*(?:\.\w[\w-]*)*(?:\.|\s?[(\[{{<*]\s?(?:[^\W\d_]{{1,8}}|\.)\s?[)\]}}>*]\s?|\s(?:pont|dot|punkt|точка)\s)[^\W\d_]{{2,}}(?![\w/])")
+_DOTTED = re.compile(r"\w\.[^\W\d_]{2}|[(\[{<*].*[)\]}>*]\s?[^\W\d_]|\s(?:pont|dot|punkt|точка)\s")
 _RUN = re.compile(r"\d{6}|\d{3}[ -]\d{3}[ -]\d{3}")
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _CASE = r"(?:nak|nek|val|vel|t|ot|et|at|öt|ért|hoz|hez|höz|tól|től|ról|ről|ban|ben|ba|be|on|en|ön|ra|re|é|ék|ig|ként|nál|nél|i|[bcdfghjklmnprstvz]{1,2}[ae]l)?"
@@ -175,7 +183,7 @@ def seeds(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Weak candidates outside of the known spans: pairs of capitalised words and bare numbers."""
+    """Weak candidates of all kinds outside of the known spans; of names, only pairs of capitalised Latin words (see ``pairs``)."""
     out = []
     taken = [(a, b) for _, a, b in known]
     free = lambda a, b: all(b <= x or a >= y for x, y in taken)
@@ -185,6 +193,42 @@ def candidates(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str,
     for m in _BARE.finditer(text) if _RUN.search(text) else ():
         if free(*m.span()):
             out.append(("id_number", *m.span()))
+    for m in _GROUPS.finditer(text):
+        a = m.start()
+        while a and text[a - 1] in "+(":
+            a -= 1
+        if 7 <= sum(c.isdigit() for c in m.group()) <= 13 and not text[a - 1 : a].isalnum() and free(a, m.end()):
+            out.append(("phone", a, m.end()))
+    for m in _NUMBER.finditer(text):
+        before = _NUMBERED.search(text, max(0, m.start() - 50), m.start() + 1)
+        if before and before[1].lower() not in _NO_NAME and _AFTER.match(text, m.end())[1].lower() not in _UNITS and free(before.start(), m.end()):
+            out.append(("address", before.start(), m.end()))
+    if _DOTTED.search(text):
+        out += [("email", *m.span()) for m in _JOINED.finditer(text) if free(*m.span())]
+    return out
+
+
+def _case(word: str) -> str:
+    """The case a name can be written in; empty for any other."""
+    return "lower" if word.islower() else "upper" if word.isupper() else "title" if word.istitle() else ""
+
+
+def pairs(text: str, patterns: frozenset[str], ends: frozenset[tuple[str, str]]) -> list[tuple[int, int]]:
+    """Spans of two words of three letters and more, in any script and both in the same case, that stand in one of the ``patterns``.
+
+    ends: the last word before and the word after, of each pattern.
+    """
+    words = ["^", *_TOKEN.findall(text), "$"]
+    words = "\n".join(words).lower().split("\n")
+    at = [i for i, e in enumerate(zip(words, words[3:])) if e in ends]  # noqa: B905
+    at = [i for i in at if f"{' '.join(words[max(0, i - 1) : i + 1])} _ {words[i + 3]}" in patterns]
+    tokens = [(m.group().lower(), *m.span()) for m in _TOKEN.finditer(text)] if at else []
+    out = []
+    for i in at:
+        (first, a, x), (second, y, b) = tokens[i], tokens[i + 1]
+        if len(first) >= 3 and len(second) >= 3 and first.isalpha() and second.isalpha() and text[x:y].isspace() and "\n" not in text[x:y] and first not in NOT_FAMILY and second not in NOT_FAMILY:
+            if _case(text[a:x]) == _case(text[y:b]) != "":
+                out.append((a, b))
     return out
 
 
@@ -199,14 +243,20 @@ def shape(kind: str, text: str) -> str:
     """What makes two instances the same: words of a name without case endings' last letters, digits of a number."""
     if kind == "name":
         return " ".join(w[: max(4, len(w) - 4)] for w in text.lower().split())
+    if kind in ("address", "email"):
+        return " ".join(re.findall(r"\w+", text.lower()))
     return re.sub(r"\D", "", text)
 
 
-def instances(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys as _k0.., kind, strong, start, stop, instance, pattern) of all seeds and weak candidates."""
+def instances(df: DataFrame, keys: list[str], text: str, patterns: frozenset[str] | None = None) -> DataFrame:
+    """(keys as _k0.., kind, strong, start, stop, instance, pattern) of all seeds and weak candidates.
+
+    With ``patterns``: of the further pairs of words in these instead, as candidates for names.
+    """
     names = [f"_k{i}" for i in range(len(keys))]
     base = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{text}`").alias("_text")).filter("_text is not null")
     types = dict(base.dtypes)
+    ends = frozenset((p.split(" _ ")[0].split()[-1], p.split(" _ ")[1]) for p in patterns or () if p.count(" _ ") == 1)
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
@@ -214,8 +264,15 @@ def instances(df: DataFrame, keys: list[str], text: str) -> DataFrame:
         for given in batches:
             at, rows = [], []
             for i, t in enumerate(given.column("_text").to_pylist()):
-                known = seeds(t)
-                for strong, spans in ((True, known), (False, candidates(t, known))):
+                if patterns is None:
+                    known = seeds(t)
+                    both = ((True, known), (False, candidates(t, known)))
+                else:
+                    more = pairs(t, patterns, ends)
+                    known = seeds(t) if more else []
+                    known += [c for c in candidates(t, known) if c[0] == "name"] if more else []
+                    both = ((False, [("name", a, b) for a, b in more if all(b <= x or a >= y for _, x, y in known)]),)
+                for strong, spans in both:
                     for kind, a, b in spans:
                         at.append(i)
                         rows.append((kind, strong, a, b, shape(kind, t[a:b]), pattern(t, a, b)))
@@ -228,21 +285,25 @@ def instances(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
-def discovered(found: DataFrame, rounds: int = 2, least: float = 0.8, support: int = 5) -> DataFrame:
+#: Distinct seeds from which a pattern can accept others.
+SUPPORT = 5
+
+
+def discovered(found: DataFrame, rounds: int = 2, least: float = 0.8, support: int = SUPPORT) -> DataFrame:
     """(kind, instance, score): weak instances that high-confidence patterns accept.
 
-    Each round scores every pattern by the mean score of its distinct instances (seeds score 1, others what they had, 0 at
+    Each round scores every pattern by the mean score of its instances as often as they stand in it (seeds score 1, others what they had, 0 at
     first) and every instance by its best pattern with at least ``support`` distinct seeds. All steps are aggregates and equi-joins over
     distinct (pattern, instance) edges.
     """
-    edges = found.groupBy("kind", "pattern", "instance").agg(F.max(F.col("strong").cast("double")).alias("seed"))
+    edges = found.groupBy("kind", "pattern", "instance").agg(F.max(F.col("strong").cast("double")).alias("seed"), F.count("*").alias("n"))
     weak = edges.filter("seed = 0").select("kind", "pattern").distinct()
     edges = written(edges.join(weak, ["kind", "pattern"], "left_semi"), "edges")  # patterns without a weak instance decide nothing
-    scores = edges.select("kind", "pattern", "instance", F.col("seed").alias("score"), "seed")
+    scores = edges.select("kind", "pattern", "instance", F.col("seed").alias("score"), "seed", "n")
     for _ in range(rounds):
-        patterns = scores.groupBy("kind", "pattern").agg(F.avg("score").alias("quality"), F.sum("seed").alias("seeds")).filter(F.col("seeds") >= support)
+        patterns = scores.groupBy("kind", "pattern").agg((F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("quality"), F.sum("seed").alias("seeds")).filter(F.col("seeds") >= support)
         best = edges.join(patterns, ["kind", "pattern"]).groupBy("kind", "instance").agg(F.max("quality").alias("best"))
-        scores = edges.join(best, ["kind", "instance"], "left").select("kind", "pattern", "instance", F.greatest("seed", F.coalesce("best", F.lit(0.0))).alias("score"), "seed")
+        scores = edges.join(best, ["kind", "instance"], "left").select("kind", "pattern", "instance", F.greatest("seed", F.coalesce("best", F.lit(0.0))).alias("score"), "seed", "n")
     return scores.filter("seed = 0").groupBy("kind", "instance").agg(F.max("score").alias("score")).filter(F.col("score") >= least)
 
 
@@ -254,7 +315,15 @@ def personal(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """
     found = written(instances(df, keys, text), "instances")
     names = [f"_k{i}" for i in range(len(keys))]
-    accepted = discovered(found).select("kind", "instance")
+    able = found.filter(r"strong and kind = 'name' and pattern rlike '\\p{L}'").groupBy("pattern").agg(F.count_distinct("instance").alias("n")).filter(F.col("n") >= SUPPORT)
+    # pairs of words of any case, only where a pattern can accept them: in others they would change no score; marks and ends of texts
+    # alone tell a list of things from names by the case only
+    more = instances(df, keys, text, frozenset(r.pattern for r in able.collect()))
+    found = found.unionByName(written(more, "pairs"))
+    scores = discovered(found)
+    # digits that are accepted as two kinds are the better one
+    alike = F.when(F.col("kind").isin("phone", "id_number"), F.lit("number")).otherwise(F.col("kind"))
+    accepted = scores.groupBy(alike.alias("_alike"), "instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind")).select("kind", "instance")
     weak = found.filter("not strong").join(accepted, ["kind", "instance"], "left_semi")
     both = found.filter("strong").unionByName(weak)
     return both.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "kind", "start", "stop")

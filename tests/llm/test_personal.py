@@ -44,3 +44,13 @@ def test_edges(spark):
     texts = {r.id: r.redacted for r in redacted(df.filter("id <> 3 or id is null").dropDuplicates(), ["id"], "t").collect()}
     assert texts[1] is None and texts[2] == "" and texts[5] == "İstanbul [EMAIL]"
     assert replace("a bb cc", [(2, 4, "name"), (2, 7, "email")]) == "a [EMAIL]"
+
+
+def test_all_kinds_are_discovered(spark):
+    known = ["Attila", "Béla", "Csaba", "Dénes", "Eszter", "Judit", "Kinga", "Tibor", "Zsolt", "Vilmos"]
+    texts = [f"A számlát {f}i {g} névre kérem." for f in ("Orb", "Urk", "Lap") for g in known]
+    texts += [f"Levél ide: a{i}@posta.test, várom." for i in range(10)] + [f"Mobilom: 06 30 123 45 {i}, este." for i in range(10, 20)] + [f"Lakik: Szövő utca {i}, fent." for i in range(10, 20)]
+    new = {"A számlát zsombókos szörénke névre kérem.": "name", "A számlát БОРЩЕВ ПЛАТОН névre kérem.": "name", "Levél ide: anna#posta.test, várom.": "email", "Levél ide: anna(kutyu)posta.test, várom.": "email", "Mobilom: 555 12 34, este.": "phone", "Lakik: Petőfi 12, fent.": "address", "Vettem 666 12 34 darabot, és csavar 12, anyag.": None, "Egy piros alma volt.": None, "A számlát Tegnapi posta névre kérem.": None}
+    df = spark.createDataFrame([*enumerate(texts)] + [(100 + i, t) for i, t in enumerate(new)], "id int, t string")
+    found = {r.id: r.kind for r in personal(df, ["id"], "t").collect()}
+    assert {t: found.get(100 + i) for i, t in enumerate(new)} == new
