@@ -239,21 +239,19 @@ def score(text: str, ordinary: frozenset[str] = frozenset()) -> tuple[float, str
         return 0.0, None
     words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(low)]
     quotes = [m.span(1) for m in _QUOTE.finditer(low)]
-    total, top, most = 0.0, None, 0.0
-    seen = set()
+    top, most = None, 0.0
+    values: dict[str, float] = {}  # of the occurrences of a term the one that counts most
     for a, b, term, weight in found:
-        if term in seen:
-            continue
-        seen.add(term)
         around = {w for x, y, w in words if y > a - 40 and x < b + 30 and not (x >= a and y <= b)}
         value = weight
         if term in INSULTS or term not in PHRASES:
             value += GAIN if around & ADDRESS else 0.0
         if around & MENTION and any(x <= a < y for x, y in quotes) or {"szo", "szot", "word", "wort", "слово"} & around and any(x <= a < y for x, y in quotes):
             value *= QUOTED
-        total += value
+        values[term] = max(values.get(term, 0.0), value)
         if value > most:
             top, most = term, value
+    total = sum(values.values())
     return round(total, 4), top
 
 

@@ -71,3 +71,8 @@ def test_swaps_are_one_edit():
 def test_frequent_words_are_no_misspellings(spark):
     rows = [(i, "Te a moson ülsz.") for i in range(6)] + [(6, "Te moran!")]
     assert {r.id: r.score >= LEAST for r in scored(spark.createDataFrame(rows, "id int, t string"), "id", "t").collect()} == {**{i: False for i in range(6)}, 6: True}
+
+
+def test_strongest_occurrence_counts():
+    text = "Azt írtad: „idióta” szó. " + "Ma sokat esett, és a kerti munka elmaradt a hétvégén. " * 2
+    assert score(text)[0] < LEAST <= score(text + "Te vagy az idióta.")[0]
