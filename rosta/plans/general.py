@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosta.operators.instants import resolve_instants
-from rosta.operators.shredding import child_records
+from rosta.operators.shredding import child_records, flat_tables
 from rosta.session import table
 
 
@@ -16,6 +18,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("file_id", F.col("place").alias("comment_pos"), "child", "child_key")
 
 
+def _flat(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Query of one flat table of the topic documents."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return flat_tables(table(spark, sf_dir, "topic_docs"), "file_id", "raw")[name]
+
+    query.__doc__ = f"The {name} of all topic documents, with file_id and comment_pos."
+    return query
+
+
 def dated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """comments and ad_details as (src, row_id, origin, date, scraped_at, zone)."""
     columns = ["row_id", "origin", "date", "scraped_at"]
@@ -34,5 +46,6 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_instants(spark, sf_dir).filter("utc_ms is not null").select("src", "row_id", "utc_ms")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
+FLAT = ("comments", "authors", "details", "crumbs", "replies")
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found} | {f"p2_{name}": _flat(name) for name in FLAT}
 ORACLES: dict[str, str] = {}

@@ -83,3 +83,12 @@ def test_flat_tables_keep_links(spark):
     assert [(r.file_id, r.comment_pos, r.parent_pos) for r in tables["replies"].collect()] == [(0, 2, 0)]
     assert sorted((r.name, r.value) for r in tables["details"].collect()) == [("a/c", None), ("d", None)]
     assert tables["comments"].filter("file_id = 0 and comment_pos = 0").first().comment_id == "5"
+
+
+def test_flat_tables_are_queries(spark, sf_dir):
+    from rosta.plans.general import QUERIES
+
+    found = {r.child: r["count"] for r in QUERIES["p2_found"](spark, sf_dir).groupBy("child").count().collect()}
+    got = {name: QUERIES[f"p2_{name}"](spark, sf_dir).count() for name in ("comments", "authors", "details", "crumbs", "replies")}
+    children = ("comment", "author", "detail", "crumb", "reply")
+    assert got == dict(zip(got, [found.get(c, 0) for c in children], strict=True))
