@@ -61,8 +61,8 @@ FILLER = (
     (r"ide (?:irja?|ird|kerul) (?:be )?(?:az? )?(?:\w+ )?szoveg(?:et)?(?:et)?", "szoveg"),
     (r"\bx{3,}\b", "xxx"),
     (r"(?:\bminta ?szoveg\b[\s.,]*)+", "minta szoveg|mintaszoveg"),
-    (r"(?:\bteszt\b[\s\d.,]*){2,}", "teszt teszt"),
-    (r"(?:\btest\b[\s\d.,]*){3,}", "test test"),
+    (r"(?:\bteszt\b[\s\d.,]*){2,}", "teszt"),
+    (r"(?:\btest\b[\s\d.,]*){3,}", "test"),
     (r"todo:? ?(?:szoveg potlasa|.{0,30}$)", "todo"),
     (r"kattintson ide a (?:cim|szoveg) szerkesztesehez", "szerkesztesehez"),
     (r"click (?:here )?to (?:edit|add) (?:the )?(?:title|text)", "click"),

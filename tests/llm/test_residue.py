@@ -41,3 +41,11 @@ def test_recurrent_lines_are_subtracted(spark):
     df = frame(spark, [*posts, "Fórum » Kezdőlap » Lista és egyéb hosszú fejléc\nBad Gateway"])
     assert [r.id for r in residue(df, ["id"], "host", "t").collect()] == [40]
     assert residue(df, ["id"], "host", "t", often=1000).count() == 0
+
+
+def test_repeated_test_words_are_tried():
+    from rosta.llm.residue import coverage, fold
+
+    for text in ("Teszt, teszt", "teszt 1 teszt 2", "teszt.teszt", "Test, test, test", "test 1 test 2 test 3"):
+        inside, total = coverage(fold(text))
+        assert inside >= 0.6 * total > 0, text
