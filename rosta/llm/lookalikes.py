@@ -56,6 +56,8 @@ class Tables:
                 out = " "
             elif given == "<noBreak> 2010":
                 out = "-"
+            if out in "\u2002\u2003":  # what EN QUAD and EM QUAD decompose to
+                out = " "
             codes = [plain.get(ord(x), ord(x)) for x in out]
             if codes != [c]:
                 parts[c] = codes

@@ -50,3 +50,7 @@ def test_edges(spark):
     assert lookalike_pairs(df.limit(0), "k", "t").count() == 0
     assert lookalike_pairs(df.union(df), "k", "t").count() == len(pairs)
     assert [r.canonical for r in canonical(df.filter("k in (8, 9)"), "k", "t").orderBy("k").collect()] == ["", None]
+
+
+def test_quads_are_spaces():
+    assert unify(["a\u2000b", "a\u2001b", "a\u2002b", "a\u2003b", "a b"]) == ["a b"] * 5
