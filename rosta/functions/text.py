@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -91,20 +92,147 @@ def html_head(page: Column) -> Column:
     return F.regexp_substr(page, F.lit(r"(?is)<head\b[^>]*>.*?</head>"))
 
 
+def quote_line(line: Column) -> Column:
+    """Whether a line quotes someone: ``... írta:`` at either end, ``>``, ``[quote]`` before or ``[/quote]`` behind; blank lines do not."""
+    shown = clean_text(line)
+    return F.lower(shown).rlike(r"(?s)^(?:írta:|>|\[quote\])|(?:írta:|\[/quote\])\z")
+
+
 def without_quote_lines(text: Column) -> Column:
-    """Leading lines that quote someone dropped; quote marks and white space trimmed at both ends."""
-    lines = F.split(text, "\n")
-    quoting = lambda x: F.lower(x).rlike(r"^\s*(írta:|>|\[quote\])|írta:\s*$") | (F.trim(x) == "")
-    first = F.array_position(F.transform(lines, lambda x: ~quoting(x)), True)
-    kept = F.when(first > 0, F.array_join(F.slice(lines, F.greatest(first, F.lit(1)).cast("int"), F.lit(1_000_000)), "\n")).otherwise(F.lit(""))
+    """Leading lines that are blank or quote someone dropped; quote marks and white space trimmed at both ends."""
+    lines = F.transform(F.split(text, "\n"), lambda x: clean_text(x))
+    first = F.array_position(F.transform(lines, lambda x: ~quote_line(x) & (x != "")), True)
+    kept = F.when(first > 0, F.array_join(F.slice(lines, F.greatest(first, F.lit(1)).cast("int"), F.size(lines)), "\n")).otherwise(F.lit(""))
     return F.regexp_replace(kept, "(?s)^[\\s'\"„”«»]+|[\\s'\"„”«»]+\\z", "")
 
 
+# The forms of reply headers, each with the numbers of its groups for author, parent and number (0: none).
+REPLIES = (
+    (r"(?i)^\s*(.+?)\s+válasza\s+(.+?)\s+hozzászólására(?:\s*\(?#?(\d+)\)?)?", 1, 2, 3),
+    (r"(?i)^\s*([^(]*?)\s*\(.*?válaszként erre:\s*(\d+)\.?\s*-\s*(.+?)\)\s*$", 1, 3, 2),
+    (r"(?i)^\s*Válasz\s+(.+?)\s+#(\d+)\.\s*hozzászólására\s*$", 0, 1, 2),
+    (r"(?i)(?:^|\W)Előzmény\s+(.+?)\s*$", 0, 1, 0),
+    (r"(?i)^\s*#\d+\s+(.+?)\s*>\s*(.+?)\s*#(\d+)", 1, 2, 3),
+)
+
+
 def reply_header(text: Column) -> Column:
-    """struct(author, parent, number) of a line like ``A válasza B hozzászólására (#n)``; nulls where it has none."""
-    pattern = r"^\s*(.+?)\s+válasza\s+(.+?)\s+hozzászólására(?:\s*\(?#?(\d+)\)?)?"
-    part = lambda n: F.nullif(F.regexp_extract(text, pattern, n), F.lit(""))
-    return F.struct(part(1).alias("author"), part(2).alias("parent"), part(3).try_cast("bigint").alias("number"))
+    """struct(author, parent, number) of a reply header; nulls where it has none.
+
+    Forms: ``A válasza B hozzászólására (#n)``, ``A (válaszként erre: n. - B)``, ``Válasz B #n. hozzászólására``, ``Előzmény B`` and
+    ``#k A > B #n``. The first form that matches counts.
+    """
+    out = {"author": None, "parent": None, "number": None}
+    for pattern, *groups in reversed(REPLIES):
+        hit = text.rlike(pattern)
+        for name, group in zip(out, groups, strict=True):
+            value = F.nullif(F.regexp_extract(text, pattern, group), F.lit("")) if group else F.lit(None).cast("string")
+            out[name] = F.when(hit, value) if out[name] is None else F.when(hit, value).otherwise(out[name])
+    return F.struct(out["author"].alias("author"), out["parent"].alias("parent"), out["number"].try_cast("bigint").alias("number"))
+
+
+def answer_author(header: Column, shown: Column) -> Column:
+    """Author of an answer: from a header ``n/m NAME válasza:``, else ``anonim`` if the header says so, else the name shown, else ``ismeretlen``."""
+    named = F.nullif(one_line(F.regexp_extract(header, r"(?i)^\s*\d+/\d+\s+(.+?)\s+válasza:", 1)), F.lit(""))
+    return F.coalesce(named, F.when(F.contains(F.lower(header), F.lit("anonim")), "anonim"), F.nullif(one_line(shown), F.lit("")), F.lit("ismeretlen"))
+
+
+# What sites put around titles.
+TITLE_ENDS = (r"(?i)\s*\(beszélgetés\)\s*$", r"(?i)\s+(?:ma|tegnap|tegnapelőtt|\d{4}\.\s*\d{2}\.\s*\d{2}\.?).*$", r"(?i)\s+\d+[\d .]*\s*db$")
+TITLE_HEADS = (r"(?i)^\s*Téma:\s*", r"(?i)^\s*Fórum\s*»\s*")
+
+
+def bare_title(title: Column, sites: tuple[str, ...] = (), activity: bool = False) -> Column:
+    """A title without the captions before it, ``(beszélgetés)`` and `` - SITE ...`` behind it; with ``activity`` also without a last activity and a count."""
+    out = title
+    for head in TITLE_HEADS:
+        out = F.regexp_replace(out, head, "")
+    for site in sites:
+        out = F.regexp_replace(out, rf"(?i)\s*-\s*{re.escape(site)}.*$", "")
+    for end in TITLE_ENDS if activity else TITLE_ENDS[:1]:
+        out = F.regexp_replace(out, end, "")
+    return strip(out)
+
+
+# Ranks that stand beside authors' names.
+RANKS = ("tag", "őstag", "ostag", "senior tag", "aktív tag", "aktiv tag", "félisten", "felisten", "veterán", "veteran", "addikt", "nagyúr", "nagyur", "újonc", "ujonc", "csendes tag", "titán", "titan")
+
+
+def author_line(text: Column) -> Column:
+    """First line that is no rank and no message number; null without one."""
+    lines = F.filter(F.transform(F.split(clean_text(text), "\n"), strip), lambda x: (x != "") & ~F.lower(x).isin(*RANKS) & ~x.startswith("#"))
+    return F.try_element_at(lines, F.lit(1))
+
+
+def unique_blocks(blocks: Column) -> Column:
+    """Different blocks of a body in their order, a blank line between them; null where nothing is left."""
+    return F.nullif(strip(F.array_join(F.array_distinct(blocks), "\n\n")), F.lit(""))
+
+
+def kept_paragraphs(blocks: Column) -> Column:
+    """Blocks cleaned, blank ones dropped, repeated ones kept."""
+    return F.filter(F.transform(blocks, lambda x: clean_text(x)), lambda x: x != "")
+
+
+def dated_node(texts: Column) -> Column:
+    """Last of several texts that shows a time of day or a day relative to now; null without one."""
+    return F.try_element_at(F.filter(F.reverse(texts), lambda x: x.rlike(r"\b\d{1,2}:\d{2}\b|(?iU)\b(?:ma|tegnap|tegnapelőtt)\b")), F.lit(1))
+
+
+def cell(cells: Column, place: int, least: int = 1) -> Column:
+    """Cell of a row by its place from 0, or from -1 at its end; null for rows of fewer than ``least`` cells."""
+    return F.when(F.size(cells) >= least, F.try_element_at(cells, F.lit(place + 1 if place >= 0 else place)))
+
+
+def upper(text: Column) -> Column:
+    """Capitals, accented letters among them."""
+    return F.upper(text)
+
+
+def last_activity(text: Column) -> Column:
+    """struct(message, user) of a last cell: ``TIME USER`` with a time of day, ``USER DAY ...`` with a date or a day relative to now, else all as the message."""
+    shown = clean_text(text)
+    first, second = r"^(.*?\d{1,2}:\d{2})\s+(.+)$", r"(?i)^(.*?)\s+((?:ma|tegnapelőtt|tegnap|\d{4}\.\d{2}\.\d{2}\.?|\d{4}-\d{2}-\d{2}).*)$"
+    part = lambda p, n: clean_text(F.regexp_extract(shown, p, n))
+    message = F.when(shown.rlike(second), part(second, 2)).when(shown.rlike(first), part(first, 1)).otherwise(shown)
+    user = F.when(shown.rlike(second), part(second, 1)).when(shown.rlike(first), part(first, 2))
+    return F.struct(message.alias("message"), user.alias("user"))
+
+
+def index_of_total(text: Column) -> Column:
+    """struct(index, total) of the first ``(n / m)``; nulls without one."""
+    part = lambda n: F.nullif(F.regexp_extract(text, r"\((\d+)\s*/\s*(\d+)\)", n), F.lit("")).try_cast("bigint")
+    return F.struct(part(1).alias("index"), part(2).alias("total"))
+
+
+# What sites write before or behind their counts.
+COUNTS = {
+    "items": (r"(?i)/\s*([\d .]+)\s+összesen", r"(?i)([\d .]+)\s+összesen"),
+    "topics": (r"(?i)Témák:\s*([\d\s.]+)",),
+    "comments": (r"(?i)Hozzászólások:\s*([\d\s.]+)",),
+    "authors": (r"(?i)Hozzászólók:\s*(\d+)",),
+    "replies": (r"(?i)Válaszok:\s*([0-9 .]+)",),
+    "views": (r"(?i)Olvasva:\s*([0-9 .]+)",),
+    "likes": (r"(?i)\bLike(?:ok)?\s*[:\-]?\s*(\d+)\b", r"(?i)\bTetszik\s*[:\-]?\s*(\d+)\b"),
+    "dislikes": (r"(?i)\bDislike(?:ok)?\s*[:\-]?\s*(\d+)\b", r"(?i)\bNem tetszik\s*[:\-]?\s*(\d+)\b"),
+}
+
+
+def shown_count(text: Column, what: str) -> Column:
+    """A count that a page shows, by ``COUNTS``; the first pattern that matches counts. ``Nem tetszik 3`` also shows 3 likes, as its second word does."""
+    found = [F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in COUNTS[what]]
+    return first_integer(F.coalesce(*found), False)
+
+
+def largest_number(text: Column) -> Column:
+    """Largest number of a text, with dots between thousands; null without one."""
+    numbers = F.regexp_extract_all(text, F.lit(r"\b\d{1,3}(?:\.\d{3})*\b"), F.lit(0))
+    return F.array_max(F.transform(numbers, lambda x: F.translate(x, ".", "").try_cast("bigint")))
+
+
+def indicators(texts: Column) -> Column:
+    """Different page indicators in their order."""
+    return F.array_distinct(texts)
 
 
 # Characters that file names must not have, and what stands for them.
@@ -112,10 +240,10 @@ FILE_CHARS = {":": " -", "/": "-", "\\": "-", "|": "-", "<": "(", ">": ")", "?":
 
 
 def safe_name(name: str | None, most: int = 180, default: str = "ismeretlen") -> str:
-    """A file name: accents dropped, forbidden characters replaced, white space as one space, dots and blanks at the end cut."""
+    """A file name: accents dropped, forbidden characters replaced, white space as one space, dots and blanks at the end cut, also behind the cut to ``most``."""
     text = "".join(c for c in unicodedata.normalize("NFKD", name or "") if not unicodedata.combining(c))
     text = " ".join("".join(FILE_CHARS.get(c, c) for c in text).split())
-    return text.rstrip(". ")[:most].rstrip() or default
+    return text.rstrip(". ")[:most].rstrip(" .") or default
 
 
 @F.pandas_udf(StringType())

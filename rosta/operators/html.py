@@ -138,10 +138,52 @@ class Extraction:
         return out
 
 
+def between_headings(html: str | None, heading: str, stop_parts: tuple[str, ...] = ()) -> list[str]:
+    """Texts of the paragraphs behind the heading whose text contains ``heading`` (lower case) up to the next heading, or to a section whose text contains one of ``stop_parts``."""
+    out, inside, done = [], False, set()
+    for node in parse(html).walk():
+        if id(node) in done:
+            continue
+        if node.tag in ("h1", "h2", "h3", "h4"):
+            if inside:
+                break
+            inside = heading in " ".join(" ".join(node.texts()).split()).lower()
+        elif inside and node.tag in ("section", "aside", "nav", "footer", "header"):
+            if any(part in " ".join(node.texts()).lower() for part in stop_parts):
+                break
+        elif inside and node.tag == "p":
+            out.append("\n".join(node.texts()))
+            done |= {id(n) for n in node.walk()}
+    return [t for t in out if t]
+
+
 LINKS = Extraction("a[href]", {"url": ("@href",), "title": ("", "@title")}, needs=("url",))
 COMMENTS = Extraction(".comment", {"comment_id": ("@data-id", "@id"), "author": (".author",), "date": (".date", "time@datetime"), "data": (".body",), "parent": (".reply@data-parent",)}, without=("blockquote", "button"))
 TOPICS = Extraction("tr.topic", {"title": ("td.title a", "td.title"), "url": ("td.title a@href",), "comments": ("td.count",), "last": ("td.last",)}, needs=("title",))
 ADS = Extraction(".ad", {"title": (".title", "h2"), "url": ("a@href",), "seller": (".seller",), "price": (".price",)}, needs=("url",))
+GROUPS = Extraction(".group", {"title": ("a.title", "a"), "url": ("a.title@href", "a@href"), "topics": (".topics",), "comments": (".comments",), "parent": ("@data-parent",)}, needs=("title", "url"))
+PAGE_TITLE = Extraction("html", {"title": ("h1.title", "h1", "h2.title", "meta[property=og:title]@content", "title")})
+TOPIC_META = Extraction("html", {"opener": (".opened .author", ".opener"), "opened": (".opened .date", ".opened time@datetime"), "counts": (".counts", ".topic-info")})
+HEADERS = Extraction(".comment .header", {"author": (".author", "a"), "date": (".date", "time@datetime", "div"), "parent": (".reply-to", "a.parent"), "votes": (".votes",), "rating": ("@data-rating", "a[title]@title")})
+PAGER = Extraction(".pager a", {"url": ("@href",), "label": ("",), "rel": ("@rel",)}, needs=("url",))
+AD_PAGE = Extraction("html", {"title": ("h1.title", "h1"), "seller": (".seller-name", ".seller a", ".seller"), "date": (".date", "time@datetime"), "description": (".description", "#description", "meta[name=description]@content")})
+
+
+def next_of_pager(links: list[dict[str, str | None]], current: int, words: tuple[str, ...] = ("következő", "next", "->", "→", "»", ">")) -> str | None:
+    """Address that a pager gives for the page behind ``current``: the link labelled so or with that number, else the smallest larger number."""
+    for link in links:
+        if link.get("rel") == "next" or any(w in (link["label"] or "").lower() for w in words):
+            return link["url"]
+    numbered = sorted((int(x["label"]), x["url"]) for x in links if (x["label"] or "").isdecimal())
+    return next((url for number, url in numbered if number > current), None)
+
+
+def safe_rows(what: Extraction, page: str | None, where: str | None) -> list[dict[str, str | None]]:
+    """The rows of a page; a page that cannot be read (a broken address in it, nesting beyond the limit) gives none and stops no other."""
+    try:
+        return what.rows_of(page, where or "") if page else []
+    except (ValueError, RecursionError):
+        return []
 
 
 def extract(pages: DataFrame, keys: list[str], html: str, url: str, what: Extraction) -> DataFrame:
@@ -156,7 +198,7 @@ def extract(pages: DataFrame, keys: list[str], html: str, url: str, what: Extrac
         for given in batches:
             at, place, rows = [], [], []
             for i, (page, where) in enumerate(zip(given.column("_html").to_pylist(), given.column("_url").to_pylist(), strict=True)):
-                for p, row in enumerate(what.rows_of(page, where or "") if page else []):
+                for p, row in enumerate(safe_rows(what, page, where)):
                     at.append(i)
                     place.append(p)
                     rows.append(row)

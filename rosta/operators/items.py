@@ -25,6 +25,16 @@ def vote_score(likes: Column, dislikes: Column) -> Column:
     return F.when(likes.isNotNull() | dislikes.isNotNull(), F.coalesce(likes, F.lit(0)) - F.coalesce(dislikes, F.lit(0)))
 
 
+def vote_score_of_block(block: Column, likes: Column, dislikes: Column) -> Column:
+    """Likes less dislikes where a page has a block of votes, missing ones as 0; null without the block. A shown -3 on the dislike side adds 3."""
+    return F.when(block, F.coalesce(likes, F.lit(0)) - F.coalesce(dislikes, F.lit(0)))
+
+
+def container_count(items: Column) -> Column:
+    """Number of items of a page; null for none."""
+    return F.nullif(F.size(F.coalesce(items, F.array())), F.lit(0))
+
+
 def comment_item(language: str = "hu") -> Column:
     """An output item from the columns comment_id, author, date, likes, dislikes, rating, parent_author, index, index_total, is_offtopic, url, data."""
     return F.struct(
@@ -42,8 +52,13 @@ def comment_item(language: str = "hu") -> Column:
     )
 
 
-def ad_item(language: str = "hu") -> Column:
-    """An output item from the columns title, seller, date, description, url, ad_id."""
+def rights(text: str) -> Column:
+    """The constant rights note of a document."""
+    return F.lit(text).alias("rights")
+
+
+def ad_item(language: str = "hu", with_details: bool = False) -> Column:
+    """An output item from the columns title, seller, date, description, url, ad_id, and the map details on demand."""
     none = F.lit(None)
     return F.struct(
         F.col("title"),
@@ -57,7 +72,7 @@ def ad_item(language: str = "hu") -> Column:
         F.col("url"),
         F.lit(language).alias("language"),
         F.array().cast("array<string>").alias("tags"),
-        F.struct("seller", "ad_id").alias("extra"),
+        F.struct("seller", "ad_id", *([F.col("details")] if with_details else [])).alias("extra"),
     )
 
 

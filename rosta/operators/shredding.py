@@ -26,12 +26,12 @@ def _refuse(word: str) -> None:
     raise ValueError(word)
 
 
-def parse(raw: str | None) -> tuple[bool, object]:
-    """(True, value) of a text that is valid JSON, else (False, None): NaN and Infinity are not JSON; numbers keep their text."""
+def parse(raw: str | None, strict: bool = True) -> tuple[bool, object]:
+    """(True, value) of a text that is valid JSON, else (False, None); numbers keep their text. NaN and Infinity are not JSON, but valid without ``strict``."""
     if raw is None:
         return False, None
     try:
-        return True, json.loads(raw, parse_int=_Number, parse_float=_Number, parse_constant=_refuse)
+        return True, json.loads(raw, parse_int=_Number, parse_float=_Number, parse_constant=_refuse if strict else _Number)
     except (ValueError, RecursionError):
         return False, None
 

@@ -1,7 +1,7 @@
 """What a crawl keeps as state, as window and aggregate expressions: first occurrences, fingerprints, resuming, guards.
 
-Windows run per topic or per page. A topic may hold a large share of all rows: what needs a whole topic is first reduced to one
-row per page, so that a window over a topic holds its pages and not its comments.
+A topic may hold a large share of all rows, and of all pages. What needs its pages in order runs in ranges of page numbers: a window
+holds one range, and one over a whole topic only a row per range, from which sums or last pages are carried into the next.
 """
 
 from __future__ import annotations
@@ -44,13 +44,40 @@ def fingerprints(df: DataFrame, page: list[str], order: list[str], sign: Column)
     return df.groupBy(*page).agg(F.sha1(F.array_join(F.transform(collected, lambda x: x["_sign"]), "\n")).alias("fingerprint"), F.count("*").alias("rows"))
 
 
+#: Page numbers of one range.
+RANGE = 4096
+
+
+def with_neighbour(pages: DataFrame, topic: str, number: str, value: str, name: str, before: bool = True) -> DataFrame:
+    """``pages`` with ``name``: the value of the topic's page before (or behind), null for its first (last); topics are no nulls."""
+    held = F.struct(F.col(value).alias("v"))
+    ranged = pages.withColumn("_range", F.floor(F.col(number) / RANGE))
+    pick, order = (F.max_by, F.col) if before else (F.min_by, lambda c: F.col(c).desc())
+    edges = ranged.groupBy(topic, "_range").agg(pick(held, number).alias("_edge"))
+    carried = edges.select(topic, "_range", F.lag("_edge").over(Window.partitionBy(topic).orderBy(order("_range"))).alias("_carried"))
+    inner = Window.partitionBy(topic, "_range").orderBy(order(number))
+    out = ranged.join(carried, [topic, "_range"]).withColumn("_near", F.coalesce(F.lag(held).over(inner), F.when(F.row_number().over(inner) == 1, F.col("_carried"))))
+    return out.withColumn(name, F.col("_near.v")).select(*pages.columns, name)
+
+
+def with_previous(pages: DataFrame, topic: str, number: str, value: str, name: str) -> DataFrame:
+    """``with_neighbour`` of the page before."""
+    return with_neighbour(pages, topic, number, value, name)
+
+
+def with_next(pages: DataFrame, topic: str, number: str, name: str) -> DataFrame:
+    """``pages`` with ``name``: the number of the topic's next page, null for its last."""
+    return with_neighbour(pages, topic, number, number, name, before=False)
+
+
 def until_repeat(pages: DataFrame, topic: str, number: str) -> DataFrame:
     """Pages of each topic before the first whose fingerprint occurred before, with ``same_as_previous`` for the comparison alone."""
-    by_topic = Window.partitionBy(topic).orderBy(number)
-    seen = F.row_number().over(Window.partitionBy(topic, "fingerprint").orderBy(number)) > 1
-    marked = pages.withColumn("_repeat", seen).withColumn("same_as_previous", F.coalesce(F.lag("fingerprint").over(by_topic) == F.col("fingerprint"), F.lit(False)))
-    stop = F.min(F.when(F.col("_repeat"), F.col(number))).over(Window.partitionBy(topic))
-    return marked.withColumn("_stop", stop).filter(F.col("_stop").isNull() | (F.col(number) < F.col("_stop"))).drop("_stop", "_repeat")
+    marked = with_previous(pages, topic, number, "fingerprint", "_before").withColumn("same_as_previous", F.coalesce(F.col("_before") == F.col("fingerprint"), F.lit(False))).drop("_before")
+    # the second page of a fingerprint is its first repetition
+    again = pages.groupBy(topic, "fingerprint").agg(F.min(number).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    later = pages.join(again, [topic, "fingerprint"]).filter(F.col(number) > F.col("_first"))
+    stop = later.groupBy(topic).agg(F.min(number).alias("_stop"))
+    return marked.join(stop, topic, "left").filter(F.col("_stop").isNull() | (F.col(number) < F.col("_stop"))).drop("_stop").select(*pages.columns, "same_as_previous")
 
 
 def resumed(df: DataFrame, markers: DataFrame, topic: str, number: str, place: str, identity: str, policy: str) -> DataFrame:
@@ -76,18 +103,38 @@ def resumed(df: DataFrame, markers: DataFrame, topic: str, number: str, place: s
     return joined.filter(F.col("_marker").isNull() | rule).select(*df.columns)
 
 
-def until_empty_run(pages: DataFrame, topic: str, number: str, rows: str, most: int = 3) -> DataFrame:
-    """Pages of each topic that are not empty and stand before the first run of ``most`` empty ones."""
-    order = Window.partitionBy(topic).orderBy(number)
-    empty = F.col(rows) == 0
-    run = F.sum(F.when(empty, 1).otherwise(0)).over(order.rowsBetween(-(most - 1), 0))
-    stop = F.min(F.when(run == most, F.col(number))).over(Window.partitionBy(topic))
-    return pages.withColumn("_stop", stop).filter(~empty & (F.col("_stop").isNull() | (F.col(number) < F.col("_stop")))).drop("_stop")
+def until_empty_run(pages: DataFrame, topic: str, number: str, rows: str, most: int = 3, first: int | None = None) -> DataFrame:
+    """Pages of each topic that are not empty and stand before the first run of ``most`` empty ones; pages that are missing are empty.
+
+    first: number of the first page of every topic; where None it is the first one given. Only the gaps between pages are looked at,
+    so a page of a very large number costs nothing.
+    """
+    full = pages.filter(F.col(rows) > 0)
+    begin = pages.groupBy(topic).agg(F.min(number).alias("_begin")) if first is None else pages.select(topic).distinct().withColumn("_begin", F.lit(first))
+    gaps = with_previous(full, topic, number, number, "_before").join(begin, topic)
+    gap = F.col(number) - F.coalesce(F.col("_before") + 1, F.col("_begin"))
+    stop = gaps.filter(gap >= most).groupBy(topic).agg(F.min(number).alias("_stop"))
+    return full.join(stop, topic, "left").filter(F.col("_stop").isNull() | (F.col(number) < F.col("_stop"))).select(*pages.columns)
 
 
 def running_total(pages: DataFrame, topic: str, number: str, rows: str) -> DataFrame:
     """Pages with the running total of their rows within the topic."""
-    return pages.withColumn("total", F.sum(rows).over(Window.partitionBy(topic).orderBy(number).rowsBetween(Window.unboundedPreceding, 0)))
+    ranged = pages.withColumn("_range", F.floor(F.col(number) / RANGE))
+    sums = ranged.groupBy(topic, "_range").agg(F.sum(rows).alias("_sum"))
+    before = Window.partitionBy(topic).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(topic, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    inner = Window.partitionBy(topic, "_range").orderBy(number).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(carried, [topic, "_range"]).withColumn("total", F.col("_carried") + F.sum(rows).over(inner)).select(*pages.columns, "total")
+
+
+def finished(df: DataFrame, status: str) -> DataFrame:
+    """Documents marked as finished; those that are already stay as they are."""
+    return df.withColumn(status, F.lit("finished"))
+
+
+def unfinished(df: DataFrame, key: str, done: DataFrame) -> DataFrame:
+    """Rows whose document is not among the finished ones: those are skipped without a look at their pages."""
+    return df.join(done.select(key).distinct(), key, "left_anti")
 
 
 def all_done(df: DataFrame, group: str, done: Column) -> DataFrame:

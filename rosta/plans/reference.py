@@ -52,6 +52,9 @@ def _clean(before: str = "", after: str = "") -> str:
     return _strip(f"regexp_replace({inner}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
 
 
+# the first pair of the query whose name is ``page`` and whose value is not blank
+_PAGE_SQL = "list_filter(string_split(regexp_extract({x}, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: split_part(p, '=', 1) = 'page' AND length(p) > 5)[1][6:]"
+
 scalar("clean_text_base", "comments", "row_id", "data", text.clean_text, _clean())
 scalar("clean_text_after", "comments", "row_id", "data", lambda x: text.clean_text(x, "after"), _clean("\\n[ \\t]+"))
 scalar("clean_text_both", "comments", "row_id", "data", lambda x: text.clean_text(x, "both"), _clean("\\n[ \\t]+", "[ \\t]+\\n"))
@@ -63,15 +66,14 @@ scalar("first_integer_unsigned", "topic_info", "row_id", "topic_title", lambda x
 scalar("last_integer_of_url", "comments", "row_id", "url", text.last_integer, "TRY_CAST(regexp_extract_all({x}, '[0-9]+')[-1] AS BIGINT)")
 scalar("seller_without_rating", "ad_details", "row_id", "seller", text.without_rating, _strip("regexp_replace({x}, '\\s*\\([0-9]+\\)\\s*$', '')"))
 scalar("url_without_fragment", "comments", "row_id", "url", urls.without_fragment, "split_part({x}, '#', 1)")
-scalar("url_query_param", "comments", "row_id", "url", lambda x: urls.query_param(x, "page"), "nullif(regexp_extract(split_part({x}, '#', 1), '[?&]page=([^&]+)', 1), '')")
-scalar("url_page_number", "comments", "row_id", "url", urls.page_number, "CASE WHEN {x} IS NULL THEN 1 ELSE coalesce(TRY_CAST(nullif(regexp_extract(split_part({x}, '#', 1), '[?&]page=([^&]+)', 1), '') AS BIGINT), 1) END")
-scalar("url_without_param", "comments", "row_id", "url", lambda x: urls.without_param(x, "page"), "regexp_replace(regexp_replace(split_part({x}, '#', 1), '([?&])page=[^&]*(&|$)', '\\1', 'g'), '[?&]$', '')")
+scalar("url_query_param", "comments", "row_id", "url", lambda x: urls.query_param(x, "page"), _PAGE_SQL)
+scalar("url_page_number", "comments", "row_id", "url", urls.page_number, f"coalesce(TRY_CAST({_PAGE_SQL} AS BIGINT), 1)")
+scalar("url_without_param", "comments", "row_id", "url", lambda x: urls.without_param(x, "page"), "CASE WHEN {x} IS NULL THEN NULL ELSE regexp_extract({x}, '^[^?#]*') || coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract({x}, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND split_part(p, '=', 1) <> 'page'), '&'), ''), '') END")
 scalar("url_ad_id", "ad_details", "row_id", "url", urls.ad_id, "coalesce(nullif(regexp_extract({x}, '_([0-9]+)\\.html$', 1), ''), regexp_extract_all(regexp_replace({x}, '^[a-z]+://[^/]*', ''), '[0-9]+')[-1])")
 scalar("title_has_part", "topic_info", "row_id", "topic_title", lambda x: predicates.title_has(x, "TALÁLKOZÓ"), "coalesce(contains(lower({x}), 'találkozó'), false)")
 scalar("address_hash", "topic_info", "row_id", "topic_url", F.sha1, "sha1({x})")
 scalar("last_saved_url", "topic_docs", "file_id", "raw", lambda x: corpus.last_field(x, "url"), "nullif(regexp_extract(regexp_extract_all({x}, '\"url\"\\s*:\\s*\"[^\"]*\"')[-1], ':\\s*\"([^\"]*)\"$', 1), '')")
 scalar("literal_count", "topic_docs", "file_id", "raw", lambda x: F.regexp_count(x, F.lit('"comment_id":')).cast("bigint"), "CAST(len(regexp_extract_all({x}, '\"comment_id\":')) AS BIGINT)")
-scalar("tail_of_file", "topic_docs", "file_id", "raw", lambda x: F.call_function("right", x, F.lit(512)), "right({x}, 512)")
 
 
 @query(
@@ -223,22 +225,22 @@ def delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.first_of(table(spark, sf_dir, "comments").select("row_id", "url", "ingested_at"), ["url"], ["ingested_at", "row_id"]).select("row_id", "url")
 
 
-@query("SELECT row_id, topic_url FROM topic_info WHERE topic_url IS NULL OR lower(regexp_replace(topic_url, '/+$', '')) NOT IN (SELECT lower(regexp_replace(topic_url, '/+$', '')) FROM comments WHERE topic_url IS NOT NULL AND scraped_at < TIMESTAMP '2023-01-01')")
+@query("SELECT row_id, topic_url FROM topic_info WHERE topic_url IS NULL OR regexp_replace(split_part(topic_url, '#', 1), '/+$', '') NOT IN (SELECT regexp_replace(split_part(topic_url, '#', 1), '/+$', '') FROM comments WHERE topic_url IS NOT NULL AND scraped_at < TIMESTAMP '2023-01-01')")
 def unvisited_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed topics of which no comment was captured before 2023."""
     topics = table(spark, sf_dir, "topic_info").select("row_id", "topic_url")
     seen = table(spark, sf_dir, "comments").filter("scraped_at < timestamp_ntz '2023-01-01 00:00:00'").select(F.col("topic_url").alias("url"))
-    return state.unvisited(topics, urls.visited_key(F.col("topic_url")), seen, urls.visited_key(F.col("url")))
+    return state.unvisited(topics, urls.visited_key(F.col("topic_url"), "slash"), seen, urls.visited_key(F.col("url"), "slash"))
 
 
 @query(
-    """WITH seen AS (SELECT 'uadid:' || ad_id AS k FROM ad_details WHERE scraped_at < TIMESTAMP '2024-01-01' AND ad_id IS NOT NULL UNION SELECT 'title:' || lower(title) FROM ad_details WHERE scraped_at < TIMESTAMP '2024-01-01' AND title IS NOT NULL)
-    SELECT row_id FROM ad_details WHERE scraped_at >= TIMESTAMP '2024-01-01' AND coalesce('uadid:' || ad_id, '') NOT IN (SELECT k FROM seen) AND coalesce('title:' || lower(title), '') NOT IN (SELECT k FROM seen)"""
+    """WITH seen AS (SELECT 'uadid:' || ad_id AS k FROM ad_details WHERE scraped_at < TIMESTAMP '2024-01-01' AND ad_id IS NOT NULL UNION SELECT 'title:' || title FROM ad_details WHERE scraped_at < TIMESTAMP '2024-01-01' AND title IS NOT NULL)
+    SELECT row_id FROM ad_details WHERE scraped_at >= TIMESTAMP '2024-01-01' AND coalesce('uadid:' || ad_id, '') NOT IN (SELECT k FROM seen) AND coalesce('title:' || title, '') NOT IN (SELECT k FROM seen)"""
 )
 def new_ads_by_any_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ads captured from 2024 on whose id and title were both unknown before."""
     ads = table(spark, sf_dir, "ad_details").select("row_id", "ad_id", "title", "scraped_at")
-    keys = [F.concat(F.lit("uadid:"), F.col("ad_id")), F.concat(F.lit("title:"), F.lower("title"))]
+    keys = [F.concat(F.lit("uadid:"), F.col("ad_id")), F.concat(F.lit("title:"), F.col("title"))]
     old, new = (ads.filter(f"scraped_at {op} timestamp_ntz '2024-01-01 00:00:00'") for op in ("<", ">="))
     seen = old.select(F.explode(F.array_compact(F.array(*keys))).alias("k"))
     return state.unvisited_by_any(new, ["row_id"], keys, seen, "k").select("row_id")
@@ -288,9 +290,7 @@ def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages_until_empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of each topic before three empty ones in a row."""
     counted = table(spark, sf_dir, "comments").filter("topic_url is not null").groupBy("topic_url", "page_no").agg(F.count("*").alias("rows"))
-    all_pages = counted.groupBy("topic_url").agg(F.max("page_no").alias("m")).select("topic_url", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("page_no"))
-    filled = all_pages.join(counted, ["topic_url", "page_no"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)).cast("bigint"))
-    return state.until_empty_run(filled, "topic_url", "page_no", "rows")
+    return state.until_empty_run(counted, "topic_url", "page_no", "rows", first=1)
 
 
 _MARKERS = "SELECT topic_url, arg_min(page_no, (scraped_at, row_id)) AS mp, arg_min(extra.comment_id, (scraped_at, row_id)) AS mk FROM comments WHERE topic_url IS NOT NULL AND extra.comment_id IS NOT NULL GROUP BY topic_url"
@@ -348,9 +348,8 @@ def page_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next captured page after each, and the estimated number of pages of its topic."""
     pages = table(spark, sf_dir, "comments").filter("topic_url is not null").groupBy("topic_url", "page_no").agg(F.count("*").alias("n"))
-    topic = Window.partitionBy("topic_url")
-    estimate = F.greatest(F.max("page_no").over(topic).cast("bigint"), F.ceil(F.sum("n").over(topic) / 100))
-    return pages.select("topic_url", "page_no", F.lead("page_no").over(topic.orderBy("page_no")).alias("next_page"), estimate.alias("pages"))
+    whole = pages.groupBy("topic_url").agg(F.greatest(F.max("page_no").cast("bigint"), F.ceil(F.sum("n") / 100)).alias("pages"))
+    return state.with_next(pages.select("topic_url", "page_no"), "topic_url", "page_no", "_n").withColumnRenamed("_n", "next_page").join(whole, "topic_url")
 
 
 @query("SELECT c.row_id, p.row_id AS parent_row FROM comments c JOIN comments p ON c.topic_url = p.topic_url AND c.extra.parent_comment_id = p.extra.comment_id")
@@ -361,10 +360,10 @@ def reply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return child.join(parent, ["topic_url", "id"]).select("row_id", "parent_row")
 
 
-@query("SELECT DISTINCT key FROM (SELECT 'url:' || url AS key FROM ad_details WHERE url IS NOT NULL UNION ALL SELECT 'uadid:' || ad_id FROM ad_details WHERE ad_id IS NOT NULL UNION ALL SELECT 'title:' || lower(title) FROM ad_details WHERE title IS NOT NULL)")
+@query("SELECT DISTINCT key FROM (SELECT 'url:' || url AS key FROM ad_details WHERE url IS NOT NULL UNION ALL SELECT 'uadid:' || ad_id FROM ad_details WHERE ad_id IS NOT NULL UNION ALL SELECT 'title:' || title FROM ad_details WHERE title IS NOT NULL)")
 def visited_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All keys under which ads are known."""
-    keys = F.array_compact(F.array(F.concat(F.lit("url:"), F.col("url")), F.concat(F.lit("uadid:"), F.col("ad_id")), F.concat(F.lit("title:"), F.lower("title"))))
+    keys = F.array_compact(F.array(F.concat(F.lit("url:"), F.col("url")), F.concat(F.lit("uadid:"), F.col("ad_id")), F.concat(F.lit("title:"), F.col("title"))))
     return table(spark, sf_dir, "ad_details").select(F.explode(keys).alias("key")).distinct()
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosta.plans import general, reference
+from rosta.plans import crawl, general, reference
 
-MODULES = (general, reference)
+MODULES = (general, reference, crawl)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,4 +18,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Name to SQL, over all modules."""
-    return {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
+    return {name: sql for module in MODULES for name, sql in module.ORACLES.items()} | crawl.DOCUMENT_SQL

@@ -40,5 +40,8 @@ def head(raw: str, size: int):  # noqa: ANN201
 
 
 def tail(raw: str, size: int):  # noqa: ANN201
-    """Last ``size`` characters of a text column."""
-    return F.expr(f"right(`{raw}`, {int(size)})")
+    """Last ``size`` bytes of a text column as text; a character that the cut splits is left out."""
+    kept = F.expr(f"substring(encode(`{raw}`, 'UTF-8'), greatest(octet_length(`{raw}`) - {int(size)} + 1, 1))")
+    # bytes of the form 10xxxxxx at the head belong to a character that begins before the cut
+    bare = F.regexp_replace(F.hex(kept), "^(?:[89AB][0-9A-F]){1,3}", "")
+    return F.unhex(bare).cast("string")
