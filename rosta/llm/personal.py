@@ -1,16 +1,17 @@
-"""Personal information in free text: found by seeds and by contexts that seeds induce, and replaced by typed placeholders.
-
-Seeds are identifiers that their own form or a label beside them gives away: e-mail addresses (also disguised ones), phone
-numbers, labelled identity numbers, street addresses, and a family name before a known given name. Every seed and every weak
-candidate (a pair of words, a number of the length of an identifier, digit groups, a word with a number, words joined by any
-sign and a dot) is an instance in a lexical pattern, the words
-around it. Spark scores the graph of patterns and instances in rounds: a pattern is as good as the share of its instances that
-are good, an instance as good as its patterns; weak candidates in high-confidence patterns are identifiers too.
+"""Personal information in free text: found by seeds and by the contexts that seeds induce, and replaced by typed placeholders.
+
+Every place that has the outer form of an identifier is a mention: two words that can be a name, an address with any sign for the
+``@``, digit groups of a telephone's length, a number of an identity number's shape, a word with a house number. A mention
+has a head, by which its kind is told: the given name, the sign, the way the number begins, the label, the kind of public place. A few
+heads of each kind are seeds. Around each mention stands its pattern, two words before and one after. Spark scores the graph of patterns
+and heads in rounds: a pattern is as good as its heads, a head as good as its patterns are without it; heads that score
+like seeds become seeds of the next round. Mentions with such heads are identifiers, in every text and in any case.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -18,16 +19,25 @@ from pyspark.sql import functions as F
 
 from rosta.session import written
 
-# Given names that serve as seeds (common ones of the sites' languages).
-GIVEN = frozenset(
-    """ádám ágnes ágoston ákos albert alexandra alíz andor andrás andrea anett anikó anita anna antal antónia aranka árpád attila balázs bálint barbara barnabás beáta béla bence benedek benjámin
-    bernadett bertalan bettina boglárka boldizsár borbála botond brigitta csaba csenge csilla csongor dániel dávid dénes dezső diána dominik dóra dorina dorottya edina edit elemér emese emil emma endre
-    enikő erika ernő erzsébet eszter etelka éva evelin fanni ferenc flóra franciska gábor gabriella gellért gergely gergő géza gizella gréta gusztáv györgy györgyi gyula hajnalka hanna hedvig helga
-    henrietta henrik ibolya ignác ildikó ilona imre irén irma istván iván izabella jános janka jenő johanna józsef judit júlia julianna kálmán károly katalin kata kinga kitti klára klaudia kornél
-    kristóf krisztián krisztina lajos lászló laura lehel levente lilla linda lóránt luca magdolna marcell margit mária marianna máté márk márton mátyás melinda mihály miklós milán mónika nándor natália nikolett
-    noémi nóra norbert olga olivér orsolya oszkár ottó ödön pál patrik péter petra piroska rebeka regina réka renáta richárd rita róbert roland rozália rudolf sándor sára sarolta szabina szabolcs szilárd szilvia
-    szilveszter szimonetta tamara tamás teréz tibor tícia tímea tivadar tünde valéria vanda vendel vera veronika viktor viktória vilma vilmos virág vince vivien zita zoltán zsigmond zsófia zsolt zsombor zsuzsanna""".split()
+# Seeds. The most frequent given names that stand behind the family name, and those that stand before it.
+GIVEN_LAST = frozenset(
+    """lászló istván józsef jános zoltán sándor gábor ferenc attila péter tamás zsolt tibor andrás csaba imre lajos györgy balázs gyula
+    mária erzsébet katalin ilona éva anna zsuzsanna margit judit ágnes julianna andrea ildikó erika krisztina irén eszter magdolna mónika edit""".split()
 )
+GIVEN_FIRST = frozenset(
+    """john mary michael james robert jennifer linda elizabeth william david richard susan joseph thomas karen sarah charles emily daniel matthew
+    hans peter wolfgang klaus jürgen andreas stefan ursula monika petra sabine renate helga karin brigitte ingrid heike anja jens dieter
+    иван александр сергей дмитрий алексей андрей николай владимир михаил елена ольга татьяна наталья ирина анна мария светлана екатерина юлия виктор""".split()
+)
+# Seeds of the other kinds: signs of e-mail addresses, beginnings of telephone numbers, labels of identity numbers, public places.
+SEEDS = {
+    "email": frozenset(["@"]),
+    "phone": frozenset(["+", "00", "06"]),
+    "id_number": frozenset("személ_szám taj adóazo adóazo_jel ssn securi person снилс паспор".split()),
+    "address": frozenset("utca utcája út útja u tér tere street road avenue straße strasse ул".split()),
+    "last": GIVEN_LAST,
+    "first": GIVEN_FIRST,
+}
 # Words before a given name that are no family name.
 NOT_FAMILY = frozenset(
     """szia sziasztok szevasz hello helló hali üdv üdvözlettel kedves tisztelt drága kösz köszi köszönöm köszönettel tisztelettel puszi és vagy meg a az ez én te ő mi ti ők hogy ha de mert is nem igen ja jó na no ó szerintem kollégám szomszéd
@@ -37,226 +47,311 @@ NOT_FAMILY = frozenset(
 )
 # Common family names without a telling ending, for texts in one case.
 FAMILY = frozenset("nagy kovács tóth szabó horváth varga kiss kis molnár németh farkas balogh papp takács juhász mészáros simon rácz fekete szilágyi török fehér balázs gál pintér szűcs kocsis orsós fodor szalai sipos lukács gulyás bíró király katona jakab bogdán boros varró kelemen antal vass szekeres hegedűs orosz barta nemes vörös".split())
-# Kinds of public places, as patterns.
-PLACES = r"(?:utcája|utca|útja|út|u\.|u|tere|tér|sétánya|sétány|köze|köz|sora|sor|körútja|körút|krt\.?|fasora|fasor|dűlő|rakpart|rkp\.?|lejtő|lépcső|park|parkja|liget|stny\.?|strasse|straße|street|avenue|road)"
-# Labels of personal numbers, and of numbers that are none.
-ID_LABELS = r"(?:szem(?:élyi|\.)?\s*(?:szám\w*|azonosító\w*(?:\s+jel\w*)?|az\.?)|szem(?:élyi|\.)?\s*ig(?:azolvány\w*|\.)?(?:\s*szám\w*|\s*sz\.?)?|sz\.?\s?ig\.?|szig\.?(?:\s*szám\w*|\s*sz\.?)?|szigsz\w*|adó\s*az(?:onosító\w*)?\.?(?:\s+jel\w*)?|adó(?:kártya|kártyá\w*|igazolvány)\w*(?:\s+szám\w*)?|taj(?:\s*-?\s*(?:szám\w*|kártya\w*))?|t\.?b\.?\s*-?\s*szám\w*|társadalom\s?biztosítási(?:\s+azonosító(?:\s+jel\w*)?)?(?:\s+szám\w*)?|personalausweis\w*|sozialversicherungs\w*|steuer-?id\w*|social security(?: number)?|ssn|passport(?: no\.?| number)?|útlevél\w*(?:\s*szám\w*)?|снилс|инн|паспорт\w*)"
+# Words that no label of a number ends in alone, so that the word before belongs to it.
+COMMON_LABEL = frozenset("szám száma számom számú számot sz jel jele jelem jelű kártya kártyája kártyám azonosító azonosítóm azonosítója igazolvány igazolványom igazolványa ig az no nr number id".split())
 
 _WORD = r"[^\W\d_]"
 _PLAIN = dict(zip("áéíóöőúüű", "aeiooouuu", strict=True))
-_EMAIL = re.compile(r"[\w.+-]*\w\s?@\s?\w[\w-]*(?:\s?\.\s?\w[\w-]*)*\.[^\W\d_]{2,}", re.I)
-_HIDDEN = re.compile(
-    r"[\w.+-]*\w\s*(?:[(\[{<]\s*(?:kukac|at|ät|@|a t|собака)\s*[)\]}>]|\s(?:kukac|at)\s|\s@\s)\s*\w[\w-]*(?:\s*(?:[(\[{<]\s*(?:pont|dot|punkt|\.|точка)\s*[)\]}>]|\s(?:pont|dot)\s|\.)\s*\w[\w-]*)+"
-    r"|[\w.+-]+kukac[\w-]+?(?:pont|\.)[^\W\d_]{2,}|[\w.+-]*\w\s?@\s?\w[\w-]*(?:\s*(?:[(\[{]\s*(?:pont|dot|punkt)\s*[)\]}]|\s(?:pont|dot)\s)\s*\w[\w-]*)+",
-    re.I,
-)
-# what every address, disguised or not, has in its middle
-_AT = re.compile(r"@|kukac|[(\[{<]\s*(?:at|ät|a t|собака)\s*[)\]}>]|\sat\s\w[\w-]*\s(?:dot|pont)\s")
-_DIGITS = re.compile(r"\d")
 _ENTITY = "&nbsp;"
-# parts of the labels, of which a text with a label has one
-_LABEL = ("személyi", "szem.", "szemszám", "szem ", "szig", "sz.ig", "sz. ig", "adóa", "adó a", "adók", "adói", "adó-", "taj", " tb", "tb-", "tb ", "t.b", "biztosítási", "ausweis", "sozialv", "steuer", "security", "ssn", "passport", "útlev", "снилс", "инн", "паспорт")
-_S = r"[\s ]"
-_PHONE = re.compile(
-    rf"(?<![\w+/.,-])(?<!\d{_S})(?:"
-    rf"(?:\(?(?:\+|00)\s?36\)?|\(?[0o]6)[\s ./()-]{{0,3}}\(?(?:1|[2-9]\d)\)?[\s ./)-]{{0,3}}\d{{2,4}}(?:[\s .-]?\d{{2,4}}){{1,2}}"
-    rf"|(?:20|30|31|50|70)\s?/\s?\d{{3}}[\s -]?\d{{2}}[\s -]?\d{{2}}|(?:20|30|31|50|70)[\s -]\d{{3}}[\s -]\d{{2}}[\s -]?\d{{2}}"
-    rf"|\+(?!36)\d{{1,3}}[\s ()/-]{{0,2}}\d{{1,4}}(?:[\s ()/-]{{1,2}}\d{{2,5}}){{1,4}}"
-    rf")(?![\w/])(?!{_S}\d)(?![.,-]\d)",
+# what joins the two parts of an address
+_AT = re.compile(r"\s?@\s?|\s?[(\[{<*]\s?(?:[^\W\d_]{1,8}|@|a t)\s?[)\]}>*]\s?|\s(?:kukac|at)\s|kukac|(?<=\w)[#¤&~§](?=\w)")
+_DOT = r"(?:\.|\s?[(\[{<*]\s?(?:pont|dot|punkt|\.|точка)\s?[)\]}>*]\s?|\s(?:pont|dot)\s)"
+_DOMAIN = re.compile(rf"\w[\w-]*(?:{_DOT}\w[\w-]*)*?(?:\.|\s?[(\[{{<*]\s?(?:pont|dot|punkt|\.|точка)\s?[)\]}}>*]\s?|\s(?:pont|dot)\s)[^\W\d_]{{2,}}(?!{_DOT}?\w)|\w[\w-]*(?:{_DOT}\w[\w-]*)+|(?<=kukac)[\w-]+?pont[^\W\d_]{{2,}}")
+_NUMBER = re.compile(
+    r"(?<![\w+/.,-])(?<!\d[\s ])(?:\(?\+|\(?o6[ \t\u00a0./()-]{0,3}|\(?)\d(?:[ \t\u00a0./()-]{0,3}\d){6,14}(?![\w/])(?![ \t\u00a0]\d)(?![.,-]\d)",
     re.I,
 )
 _DIGIT = "nulla|egy|kettő|két|három|négy|öt|hat|hét|nyolc|kilenc"
 _SPOKEN = re.compile(rf"\bnulla[\s,-]+hat[\s,-]+(?:(?:{_DIGIT}|tíz|tizen\w+|húsz|huszon\w+|harminc\w*|negyven\w*|ötven\w*|hatvan\w*|hetven\w*|nyolcvan\w*|kilencven\w*|száz\w*)[\s,-]+){{4,}}(?:{_DIGIT}|\w*(?:tíz|ven|van|minc|húsz|{_DIGIT}))\b", re.I)
-_ID_VALUE = r"(?:[1-8][\s -]?\d{6}[\s -]?\d{4}|\d{3}[\s -]?\d{3}[\s -]?\d{3}(?!\d)|8\d{9}|\d{6}[\s -]?[A-Z]{2}|[A-Z]{2}[\s -]?\d{6,7}|\d{3}-\d{2}-\d{4})"
-_ID = re.compile(rf"(?<!\w){ID_LABELS}\s*(?:[:=#.-]\s*|\()?\s*(?:az?\s+|sz\.?:?\s*|nr\.?:?\s*|no\.?:?\s*)?{_ID_VALUE}(?![\d/])(?!-\d)", re.I)
-_ID_AFTER = re.compile(rf"(?<![\w-]){_ID_VALUE}(?!\d)\s*(?:\(|,|-|–|az?\s|a\s)?\s*(?:a |az )?{ID_LABELS}(?:om|em|m)?\b", re.I)
-_PLACE = re.compile(rf"[\s ](?P<place>{PLACES})[\s ,]*(?P<no>\d{{1,4}})(?!\d)(?P<rest>(?:\s?[-/]\s?(?:\d{{1,4}}|{_WORD}))?)(?P<after>\.?[\s ]?{_WORD}*)")
-_STREET = re.compile(rf"(?<!\w){_WORD}[\w.'-]*(?:[\s ]+{_WORD}[\w.'-]*)?[\s ]*$")
+_FORMS = (
+    re.compile(r"(?:\+|00)\s?36\)?[\s ./()-]{0,3}\(?(?:1|[2-9]\d)\)?[\s ./)-]{0,3}\d{2,4}(?:[\s .-]?\d{2,4}){1,2}"),
+    re.compile(r"[0o]6\)?[\s ./()-]{0,3}\(?(?:1|[2-9]\d)\)?[\s ./)-]{0,3}\d{2,4}(?:[\s .-]?\d{2,4}){1,2}", re.I),
+    re.compile(r"(?:20|30|31|50|70)\s?/\s?\d{3}[\s -]?\d{2}[\s -]?\d{2}|(?:20|30|31|50|70)[\s -]\d{3}[\s -]\d{2}[\s -]?\d{2}"),
+    re.compile(r"\+(?!36)\d{1,3}[\s ()/-]{0,2}\d{1,4}(?:[\s ()/-]{1,2}\d{2,8}){1,4}"),
+)
+# Shapes of identity numbers.
+_ID_VALUE = re.compile(r"(?<![\w/])(?:[1-8][\s -]?\d{6}[\s -]?\d{4}|\d{3}[\s -]?\d{3}[\s -]?\d{3}(?!\d)|8\d{9}|\d{6}[\s -]?[a-z]{2}(?!\w)|[a-z]{2}[\s -]?\d{6,7}|\d{3}-\d{2}-\d{4})(?![\d/])(?!-\d)")
+_LABEL_AFTER = re.compile(rf"\s*(?:\(|,|-|–)?\s*(?:a |az )?((?:{_WORD}+\.?[\s-]*){{1,3}})")
+_LABEL_BEFORE = re.compile(rf"({_WORD}+)\W*$")
+_HOUSE = re.compile(rf"[\s ,]+(?P<no>\d{{1,4}})(?!\d)(?P<rest>(?:\s?[-/]\s?(?:\d{{1,4}}|{_WORD})(?!\w))?)(?P<after>\.?[\s ]?{_WORD}*)")
+_HOUSE_FIRST = re.compile(rf"(?<![\w./,-])\d{{1,5}}[a-z]?\s+((?:{_WORD}+\s+){{1,2}}?)(street|road|avenue|lane|drive|square|way|close|st|rd|ave)\b\.?")
+_STREET_RU = re.compile(rf"(?<!\w)(?:ул|улица|пр|проспект|пер|переулок)\.?\s+({_WORD}+(?:\s{_WORD}+)?),?\s+(?:д\.?\s?|дом\s)?\d{{1,4}}")
+_JOINED_STREET = re.compile(rf"(?<!\w)({_WORD}{{2,}}?)(straße|strasse|str\.|gasse|platz|weg|allee)\s+\d{{1,4}}(?:\s?[a-z])?(?!\w)")
 # Words that make a number after a public place something else, and words before one that are no name.
 _UNITS = frozenset("km m cm mm kg g db ft perc óra nap hét hónap év éves forint eft méter kilométer százalék fok liter tag vége".split())
-_NO_NAME = frozenset("a az egy két három sok több néhány minden ez ezt azt hosszú rövid első második utolsó fő rossz jó nagy kis hosszabb vissza ki be el fel le haza és vagy as es os ös -as vége a/az".split())
-_PAIR = re.compile(r"(?<![\w.-])([A-ZÁÉÍÓÖŐÚÜŰÄ][a-záéíóöőúüűäß]{2,}(?:-[A-ZÁÉÍÓÖŐÚÜŰÄ][a-záéíóöőúüűäß]{2,})?)[ \t ]+([A-ZÁÉÍÓÖŐÚÜŰÄ][a-záéíóöőúüűäß]{2,})(?![\w-])")
-_BARE = re.compile(r"(?<![\w/.,+-])(?<!\d )(?:\d{9,11}|\d{3}[ -]\d{3}[ -]\d{3}|[1-8][ -]\d{6}[ -]\d{4}|\d{6} ?[A-Z]{2})(?![\w/-])(?! \d)")
-_GROUPS = re.compile(r"\d(?<![\w/.,-]\d)(?<!\d \d)[\d ()/.-]{5,18}\d(?![\w/-])(?! \d)")
-_NUMBER = re.compile(r"[  ]\d{1,4}(?:[/-]\d{1,3}|/?[A-Za-z])?(?!\w)")
-_NUMBERED = re.compile(rf"(?<![\w.-])({_WORD}{{3,}})\.?[  ]*$")
-_AFTER = re.compile(rf"\.?[\s-]?({_WORD}*)")
-_SIGN = r"(?:[^\w\s.,;:/'\"-]{1,3}|[(\[{<*]\s?[^\W\d_]{1,8}\s?[)\]}>*])"
-_JOINED = re.compile(rf"(?<![\w/])\w[\w.+-]*\s?{_SIGN}\s?\w[\w-]*(?:\.\w[\w-]*)*(?:\.|\s?[(\[{{<*]\s?(?:[^\W\d_]{{1,8}}|\.)\s?[)\]}}>*]\s?|\s(?:pont|dot|punkt|точка)\s)[^\W\d_]{{2,}}(?![\w/])")
-_DOTTED = re.compile(r"\w\.[^\W\d_]{2}|[(\[{<*].*[)\]}>*]\s?[^\W\d_]|\s(?:pont|dot|punkt|точка)\s")
-_RUN = re.compile(r"\d{6}|\d{3}[ -]\d{3}[ -]\d{3}")
+_NO_NAME = frozenset("a az egy két három sok több néhány minden ez ezt azt hosszú rövid első második utolsó rossz jó nagy kis hosszabb vissza ki be el fel le haza és vagy as es os ös -as vége a/az".split())
+_PAIR = re.compile(r"(?<![\w.-])([^\W\d_]{2,}(?:-[^\W\d_]{2,})?)[ \t\u00a0]+([^\W\d_]{2,}(?:-[^\W\d_]{2,})?)(?![\w-])")
+_TITLE_WORD = re.compile(r"(?<![\w.-])[A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][a-záéíóöőúüűäßа-яё]+(?:-[A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][a-záéíóöőúüűäßа-яё]+)?(?=[ \t\u00a0]+([A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][a-záéíóöőúüűäßа-яё]+(?:-[A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][a-záéíóöőúüűäßа-яё]+)?)(?![\w-]))")
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _CASE = r"(?:nak|nek|val|vel|t|ot|et|at|öt|ért|hoz|hez|höz|tól|től|ról|ről|ban|ben|ba|be|on|en|ön|ra|re|é|ék|ig|ként|nál|nél|i|[bcdfghjklmnprstvz]{1,2}[ae]l)?"
 
-
-@lru_cache(1)
-def _names():  # noqa: ANN202
-    """Automaton of given names and, per name, the pattern of its cased forms."""
-    import ahocorasick
-
-    machine = ahocorasick.Automaton()
-    for name in GIVEN | {"".join(_PLAIN.get(c, c) for c in n) for n in GIVEN}:  # also written without accents
-        stem = name[:-1] if name[-1] in "ae" else name
-        machine.add_word(stem, (name, re.compile(rf"{re.escape(stem)}(?:{name[-1]}|[{'aá' if name[-1] == 'a' else 'eé'}]{_CASE})(?!\w)" if name[-1] in "ae" else rf"{re.escape(name)}{_CASE}(?!\w)")))
-    machine.make_automaton()
-    return machine
-
-
-_BEFORE = re.compile(rf"({_WORD}+(?:-{_WORD}+)?)(\s+)$")
+#: (kind, head, start, end, where its context ends before it) of a mention: a label is no context of its number.
+Mention = tuple[str, str, int, int, int]
+
+
+def words_before(low: str, at: int, most: int) -> list[tuple[int, int]]:
+    """Places of up to ``most`` words before ``at``, nearest first, with nothing but white space between them; words of any length."""
+    out: list[tuple[int, int]] = []
+    while len(out) < most:
+        while at and low[at - 1].isspace():
+            at -= 1
+        stop = at
+        while at and (low[at - 1].isalnum() or low[at - 1] in "_.'-"):
+            at -= 1
+        while at < stop and not low[at].isalpha():  # a word begins with a letter
+            at += 1
+        if at >= stop:
+            break
+        out.append((at, stop))
+    return out
 
 
-def _found_names(text: str, low: str) -> list[tuple[int, int]]:
-    """Spans of a family name and a given name."""
-    out = []
-    for end, (name, forms) in _names().iter(low):
-        stem = len(name) - (name[-1] in "ae")
-        at = end - stem + 1
-        if at < 3 or not low[at - 1].isspace():
-            continue
-        m = forms.match(low, at)
-        if not m:
-            continue
-        before = _BEFORE.search(low, max(0, at - 45), at)
-        if not before or before.group(2).count("\n") > 1 or len(before.group(1)) < 3:
+def _emails(low: str) -> list[Mention]:
+    """Addresses with whatever sign stands for the ``@``."""
+    out: list[Mention] = []
+    done = 0
+    for m in _AT.finditer(low):
+        if m.start() < done:
             continue
-        family, start = before.group(1), before.start(1)
-        if family in NOT_FAMILY or family in GIVEN or family.split("-")[0] in NOT_FAMILY:
+        a = m.start()
+        while a > done and (low[a - 1].isalnum() or low[a - 1] in "_.+-"):
+            a -= 1
+        if a == m.start() or not (low[m.start() - 1].isalnum() or low[m.start() - 1] == "_"):
             continue
-        shown = text[start:at]
-        telling = family.endswith("i") or family in FAMILY or family[-1] == "y"
-        if "\n" in before.group(2) and not family.endswith("i"):
+        sign = "".join(m.group().split())
+        domain = _DOMAIN.match(low, m.end())
+        if not domain:
             continue
-        if not (shown[0].isupper() and text[at].isupper()) and not telling:
+        host = domain.group()
+        if sign in ("kukac", "at") and m.group() == sign and "pont" not in host and "." not in host:
             continue
-        if shown[0].isupper() != text[at].isupper():
+        if not re.search(r"[^\W\d_]{2,}$", host):
             continue
-        if not telling and (start == 0 or low[:start].rstrip()[-1:] in ".!?"):
+        plain = sign == "@" and not re.search(r"\s", m.group()) and not re.search(r"[\s(\[{<*]", host)
+        head = "@" if plain else ("@~" if sign == "@" else ("~" + sign if m.group().strip() != m.group() else sign))
+        out.append(("email", head, a, domain.end(), a))
+        done = domain.end()
+    return out
+
+
+def _phones(low: str) -> list[Mention]:
+    """Digit groups of a telephone number's length, by the way they begin, and numbers written in words."""
+    out: list[Mention] = []
+    for m in _NUMBER.finditer(low):
+        a, b = m.span()
+        shown = low[a:b]
+        digits = sum(c.isdigit() for c in shown) + shown.startswith(("o6", "(o6"))
+        if not 7 <= digits <= 15:
             continue
-        out.append((start, m.end()))
+        bare = shown.lstrip("(")
+        if bare.startswith("+"):
+            head, fits = "+", _FORMS[0].fullmatch(bare) or _FORMS[3].fullmatch(bare)
+        elif bare.startswith("00"):
+            head, fits = "00", _FORMS[0].fullmatch(bare)
+        elif bare.startswith(("06", "o6")):
+            head, fits = bare[:2], _FORMS[1].fullmatch(bare)
+        elif _FORMS[2].fullmatch(bare):
+            head, fits = "area" + ("/" if "/" in bare else ""), True
+        else:
+            head, fits = "groups:" + re.sub(r"\d", "d", bare), True
+        least = 12 if bare.startswith("0036") else 10 if bare.startswith(("06", "o6", "+36")) else 7 if head.startswith("groups") else 9
+        if fits and digits >= least:
+            out.append(("phone", head, a, b, a))
+    if "nulla" in low:
+        out += [("phone", "spoken", *m.span(), m.start()) for m in _SPOKEN.finditer(low)]
+    return out
+
+
+def _label(words: list[str]) -> tuple[str, int]:
+    """Head of an identity number's label and its number of words: the last one, and those before it as far as they are common ones; cut to six letters."""
+    words = [w.strip(".-_'").lower() for w in words]
+    words = [w for w in words if w]
+    if not words:
+        return "", 0
+    size = 1
+    while size < len(words) and words[-size] in COMMON_LABEL:
+        size += 1
+    kept = words[-size:]
+    return "_".join(re.sub(r"(?<=..)(?:om|em|ja|unk|m|a)$", "", w)[:6] if len(w) > 4 else w for w in kept), len(kept)
+
+
+def _ids(low: str) -> list[Mention]:
+    """Numbers of an identity number's shape with a word before or behind that can be their label."""
+    out: list[Mention] = []
+    for m in _ID_VALUE.finditer(low):
+        at = m.start()
+        while at and (low[at - 1].isspace() or low[at - 1] in ":=#.-("):
+            at -= 1
+        spans = words_before(low, at, 3)
+        line = low.rfind("\n", 0, m.start())
+        words = [(x.group(), a + x.start()) for a, b in reversed(spans) if a > line for x in re.finditer(rf"{_WORD}+", low[a:b])]
+        while len(words) > 1 and words[-1][0] in ("az", "a", "sz", "nr", "no") and words[-2][0] not in ("adó", "szem", "személyi", "szig"):
+            words.pop()
+        head, size = _label([w for w, _ in words])
+        if head:
+            out.append(("id_number", head, *m.span(), words[-size][1]))
+        after = _LABEL_AFTER.match(low, m.end())
+        if after:
+            behind = re.findall(rf"{_WORD}+", after[1])
+            for k in (1, 2):
+                other = _label(behind[:k])[0] if len(behind) >= k else head
+                if other != head:
+                    out.append(("id_number", other, *m.span(), m.start()))
     return out
 
 
-def _long_enough(number: str) -> bool:
-    """Whether a number in a national form has an area code and a subscriber's number."""
-    digits = re.sub(r"\D", "", number.replace("o", "0"))
-    return len(digits) >= 12 if digits.startswith("0036") else len(digits) >= 10 if digits.startswith(("06", "36")) else len(digits) >= 9
+def _addresses(low: str) -> list[Mention]:
+    """A name, a kind of public place and a house number, in any of the orders of the languages."""
+    out: list[Mention] = []
+    for m in _HOUSE.finditer(low):
+        spans = words_before(low, m.start(), 3)
+        if len(spans) < 2 or "\n\n" in low[spans[1][0] : m.start()]:
+            continue
+        place = low[spans[0][0] : spans[0][1]]
+        first = low[spans[1][0] : spans[1][1]]
+        name, after = first.split()[-1].strip("."), m["after"].strip(". \t\n\u00a0")
+        if name in _NO_NAME or after in _UNITS or len(name) < 2 or not place.rstrip(".").isalpha() or first.endswith("."):
+            continue
+        start = spans[2][0] if len(spans) > 2 and "\n" not in low[spans[2][0] : spans[1][0]] and not low[spans[2][1] - 1] == "." else spans[1][0]
+        out.append(("address", place.rstrip("."), start, m.end("rest"), start))
+    if "str" in low or "weg" in low or "platz" in low or "gasse" in low or "allee" in low:
+        out += [("address", m[2].rstrip(".").replace("strasse", "straße"), m.start(), m.end(), m.start()) for m in _JOINED_STREET.finditer(low) if m[1] not in _NO_NAME]
+    for m in _HOUSE_FIRST.finditer(low):
+        out.append(("address", {"st": "street", "rd": "road", "ave": "avenue"}.get(m[2], m[2]), *m.span(), m.start()))
+    if "ул" in low or "пр" in low or "пер" in low:
+        out += [("address", "ул", *m.span(), m.start()) for m in _STREET_RU.finditer(low)]
+    return out
 
 
-def seeds(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of the identifiers that their form or label gives away."""
-    if _ENTITY in text:  # a written no-break space is one space; places are those of the text as it is
+def mentions(text: str) -> list[Mention]:
+    """Everything in a text that has the outer form of an identifier, but names; places are those of the text as it is."""
+    if _ENTITY in text:  # a written no-break space is one space
         parts = text.split(_ENTITY)
         place, at = [], 0
         for part in parts:
             place += range(at, at + len(part) + 1)
             at += len(part) + len(_ENTITY)
-        return [(kind, place[a], place[b - 1] + 1) for kind, a, b in seeds(" ".join(parts))]
-    low = text.lower()
-    if len(low) != len(text):  # letters whose lower case is longer
-        text = "".join(c if len(c.lower()) == 1 else "x" for c in text)
-        low = text.lower()
-    out: list[tuple[str, int, int]] = []
-    for m in _AT.finditer(low):
-        if out and m.start() < out[-1][2]:
-            continue
-        near = (max(0, m.start() - 60), m.end() + 90)
-        for form in (_EMAIL, _HIDDEN):
-            hit = next((h for h in form.finditer(low, *near) if h.start() <= m.start() < h.end()), None)
-            if hit:
-                out.append(("email", *hit.span()))
-                break
-    if _DIGITS.search(low):
-        out += [("phone", *m.span()) for m in _PHONE.finditer(low) if _long_enough(m.group())]
-        if any(w in low for w in _LABEL):
-            out += [("id_number", *m.span()) for m in (*_ID.finditer(low), *_ID_AFTER.finditer(low))]
-        for m in _PLACE.finditer(low):
-            before = _STREET.search(low, max(0, m.start() - 50), m.start())
-            if not before:
-                continue
-            name, after = before.group().split()[-1], m["after"].strip(". \t\n ")
-            if name not in _NO_NAME and after not in _UNITS and len(name) >= 3:
-                out.append(("address", before.start(), m.end()))
-    if "nulla" in low:
-        out += [("phone", *m.span()) for m in _SPOKEN.finditer(low)]
-    out += [("name", a, b) for a, b in _found_names(text, low)]
+        return [(kind, head, place[a], place[b - 1] + 1, place[c]) for kind, head, a, b, c in mentions(" ".join(parts))]
+    low = lower(text)
+    out = _emails(low) if "@" in low or "kukac" in low or any(c in low for c in "([{<*#¤&~§") or " at " in low else []
+    if any(c.isdigit() for c in low):
+        out += _phones(low) + _ids(low) + _addresses(low)
+    elif "nulla" in low:
+        out += _phones(low)
     return out
 
 
-def candidates(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Weak candidates of all kinds outside of the known spans; of names, only pairs of capitalised Latin words (see ``pairs``)."""
+def lower(text: str) -> str:
+    """Lower case, letter by letter: one whose lower case is longer stays."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def name_pairs(text: str) -> list[tuple[str, str, int, int]]:
+    """(first word, second word, start, end), folded to lower case, of adjacent capitalised words in any script that can be a name."""
     out = []
-    taken = [(a, b) for _, a, b in known]
-    free = lambda a, b: all(b <= x or a >= y for x, y in taken)
-    for m in _PAIR.finditer(text):
-        if m[1].lower() not in NOT_FAMILY and m[2].lower() not in NOT_FAMILY and free(*m.span()):
-            out.append(("name", *m.span()))
-    for m in _BARE.finditer(text) if _RUN.search(text) else ():
-        if free(*m.span()):
-            out.append(("id_number", *m.span()))
-    for m in _GROUPS.finditer(text):
-        a = m.start()
-        while a and text[a - 1] in "+(":
-            a -= 1
-        if 7 <= sum(c.isdigit() for c in m.group()) <= 13 and not text[a - 1 : a].isalnum() and free(a, m.end()):
-            out.append(("phone", a, m.end()))
-    for m in _NUMBER.finditer(text):
-        before = _NUMBERED.search(text, max(0, m.start() - 50), m.start() + 1)
-        if before and before[1].lower() not in _NO_NAME and _AFTER.match(text, m.end())[1].lower() not in _UNITS and free(before.start(), m.end()):
-            out.append(("address", before.start(), m.end()))
-    if _DOTTED.search(text):
-        out += [("email", *m.span()) for m in _JOINED.finditer(text) if free(*m.span())]
+    for m in _TITLE_WORD.finditer(text):
+        first, second = m.group().lower(), m[1].lower()
+        if first not in NOT_FAMILY and second not in NOT_FAMILY and len(first) >= 3 and len(second) >= 2:
+            out.append((first, second, m.start(), m.end(1)))
     return out
 
 
-def _case(word: str) -> str:
-    """The case a name can be written in; empty for any other."""
-    return "lower" if word.islower() else "upper" if word.isupper() else "title" if word.istitle() else ""
+def seeds(text: str, accepted: dict[str, frozenset[str]] | None = None) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the identifiers in a text whose heads are ``accepted``; the seeds where that is None."""
+    heads = accepted or SEEDS
+    out = [(kind, a, b) for kind, head, a, b, _ in mentions(text) if head in heads[kind]]
+    return out + [("name", a, b) for a, b in names_in(text, heads["last"], heads["first"])]
+
 
+@lru_cache(8)
+def _name_machines(last: frozenset[str], first: frozenset[str]):  # noqa: ANN202
+    """Automata of given names behind and before the family name, with the patterns of their cased forms."""
+    import ahocorasick
 
-def pairs(text: str, patterns: frozenset[str], ends: frozenset[tuple[str, str]]) -> list[tuple[int, int]]:
-    """Spans of two words of three letters and more, in any script and both in the same case, that stand in one of the ``patterns``.
+    machines = []
+    for names in (last, first):
+        machine = ahocorasick.Automaton()
+        for name in names | {"".join(_PLAIN.get(c, c) for c in n) for n in names}:  # also written without accents
+            stem = name[:-1] if name[-1] in "ae" else name
+            machine.add_word(stem, (name, re.compile(rf"{re.escape(stem)}(?:{name[-1]}|[{'aá' if name[-1] == 'a' else 'eé'}]{_CASE})(?!\w)" if name[-1] in "ae" else rf"{re.escape(name)}{_CASE}(?!\w)")))
+        machine.make_automaton()
+        machines.append(machine)
+    return machines
 
-    ends: the last word before and the word after, of each pattern.
-    """
-    words = ["^", *_TOKEN.findall(text), "$"]
-    words = "\n".join(words).lower().split("\n")
-    at = [i for i, e in enumerate(zip(words, words[3:])) if e in ends]  # noqa: B905
-    at = [i for i in at if f"{' '.join(words[max(0, i - 1) : i + 1])} _ {words[i + 3]}" in patterns]
-    tokens = [(m.group().lower(), *m.span()) for m in _TOKEN.finditer(text)] if at else []
+
+def names_in(text: str, last: frozenset[str], first: frozenset[str]) -> list[tuple[int, int]]:
+    """Spans of a family and a given name of the given ones, in any case; ``last``: behind the family name, ``first``: before it."""
+    if _ENTITY in text:
+        parts = text.split(_ENTITY)
+        place, at = [], 0
+        for part in parts:
+            place += range(at, at + len(part) + 1)
+            at += len(part) + len(_ENTITY)
+        return [(place[a], place[b - 1] + 1) for a, b in names_in(" ".join(parts), last, first)]
+    low = lower(text)
+    behind, before = _name_machines(last, first)
     out = []
-    for i in at:
-        (first, a, x), (second, y, b) = tokens[i], tokens[i + 1]
-        if len(first) >= 3 and len(second) >= 3 and first.isalpha() and second.isalpha() and text[x:y].isspace() and "\n" not in text[x:y] and first not in NOT_FAMILY and second not in NOT_FAMILY:
-            if _case(text[a:x]) == _case(text[y:b]) != "":
-                out.append((a, b))
+    for end, (name, forms) in behind.iter(low) if len(behind) else ():
+        at = end - len(name) + (name[-1] in "ae") + 1
+        if at < 3 or not low[at - 1].isspace():
+            continue
+        m = forms.match(low, at)
+        if not m:
+            continue
+        spans = words_before(low, at, 1)
+        if not spans:
+            continue
+        start, stop = spans[0]
+        family = low[start:stop].lstrip(".'-_")
+        start = stop - len(family)
+        gap = low[stop:at]
+        if gap.count("\n") > 1 or len(family) < 3 or not family.replace("-", "").isalpha() or family.endswith("-"):
+            continue
+        if family in NOT_FAMILY or family in last or family.split("-")[0] in NOT_FAMILY:
+            continue
+        shown = text[start:at]
+        telling = family.endswith("i") or family in FAMILY or family[-1] == "y"
+        if "\n" in gap and not family.endswith("i"):
+            continue
+        if not (shown[0].isupper() and text[at].isupper()) and not telling:
+            continue
+        if shown[0].isupper() != text[at].isupper():
+            continue
+        if not telling and (start == 0 or low[:start].rstrip()[-1:] in ".!?"):
+            continue
+        out.append((start, m.end()))
+    for end, (name, forms) in before.iter(low) if len(before) else ():
+        at = end - len(name) + (name[-1] in "ae") + 1
+        m = forms.match(low, at)
+        if not m or (at and (low[at - 1].isalnum() or low[at - 1] in "_-")) or not text[at].isupper():
+            continue
+        following = _TITLE_AFTER.match(text, m.end())
+        if following and following[1].lower() not in NOT_FAMILY and (following[1].isupper() == text[at : m.end()].isupper() or len(following[1]) < 2):
+            out.append((at, following.end(1)))
     return out
 
 
+_TITLE_AFTER = re.compile(r"[ \t\u00a0]+(?:[A-ZА-ЯЁ]\.[ \t]*|von |van )?([A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][\w'-]*[^\W\d_])")
+
+
 def pattern(text: str, start: int, end: int) -> str:
-    """The words around a span: two before, one after, folded; line ends and text ends are words too."""
+    """The words around a span, lower case: two before within 40 characters, one after within 25; the ends of a text are words too."""
     before = ["^", *_TOKEN.findall(text[max(0, start - 40) : start].lower())][-2:]
     after = [*_TOKEN.findall(text[end : end + 25].lower()), "$"][0]
     return f"{' '.join(before)} _ {after}"
 
 
-def shape(kind: str, text: str) -> str:
-    """What makes two instances the same: words of a name without case endings' last letters, digits of a number."""
-    if kind == "name":
-        return " ".join(w[: max(4, len(w) - 4)] for w in text.lower().split())
-    if kind in ("address", "email"):
-        return " ".join(re.findall(r"\w+", text.lower()))
-    return re.sub(r"\D", "", text)
-
-
-def instances(df: DataFrame, keys: list[str], text: str, patterns: frozenset[str] | None = None) -> DataFrame:
-    """(keys as _k0.., kind, strong, start, stop, instance, pattern) of all seeds and weak candidates.
-
-    With ``patterns``: of the further pairs of words in these instead, as candidates for names.
-    """
+def _base(df: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, list[str], str]:
     names = [f"_k{i}" for i in range(len(keys))]
-    base = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{text}`").alias("_text")).filter("_text is not null")
+    base = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{text}`").alias("_text"))
     types = dict(base.dtypes)
-    ends = frozenset((p.split(" _ ")[0].split()[-1], p.split(" _ ")[1]) for p in patterns or () if p.count(" _ ") == 1)
+    return base, names, ", ".join(f"{n} {types[n]}" for n in names)
+
+
+def instances(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys as _k0.., kind, head, start, stop, instance, pattern) of all mentions; names give one of each order, kinds ``last`` and ``first``."""
+    base, names, schema = _base(df, keys, text)
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
@@ -264,47 +359,78 @@ def instances(df: DataFrame, keys: list[str], text: str, patterns: frozenset[str
         for given in batches:
             at, rows = [], []
             for i, t in enumerate(given.column("_text").to_pylist()):
-                if patterns is None:
-                    known = seeds(t)
-                    both = ((True, known), (False, candidates(t, known)))
-                else:
-                    more = pairs(t, patterns, ends)
-                    known = seeds(t) if more else []
-                    known += [c for c in candidates(t, known) if c[0] == "name"] if more else []
-                    both = ((False, [("name", a, b) for a, b in more if all(b <= x or a >= y for _, x, y in known)]),)
-                for strong, spans in both:
-                    for kind, a, b in spans:
-                        at.append(i)
-                        rows.append((kind, strong, a, b, shape(kind, t[a:b]), pattern(t, a, b)))
+                for kind, head, a, b, c in mentions(t):
+                    at.append(i)
+                    rows.append((kind, head, a, b, re.sub(r"\W", "", t[a:b].lower()), pattern(t, c, b)))
+                for first, second, a, b in name_pairs(t):
+                    around = pattern(t, a, b)
+                    at += [i, i]
+                    rows += [("last", second, a, b, first, around), ("first", first, a, b, second, around)]
             columns = [*zip(*rows, strict=True)] or [()] * 6
             pick = pa.array(at, pa.int64())
-            arrays = [pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string()], strict=True)]
-            yield pa.RecordBatch.from_arrays([*[given.column(n).take(pick) for n in names], *arrays], names=[*names, "kind", "strong", "start", "stop", "instance", "pattern"])
+            arrays = [pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()], strict=True)]
+            yield pa.RecordBatch.from_arrays([*[given.column(n).take(pick) for n in names], *arrays], names=[*names, "kind", "head", "start", "stop", "instance", "pattern"])
 
-    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", kind string, strong boolean, start int, stop int, instance string, pattern string"
-    return base.mapInArrow(run, schema)
+    return base.filter("_text is not null").mapInArrow(run, schema + ", kind string, head string, start int, stop int, instance string, pattern string")
 
 
-#: Distinct seeds from which a pattern can accept others.
-SUPPORT = 5
+#: What a head needs to be accepted: different instances, patterns, and the share of the seeds' median score.
+INSTANCES, PATTERNS, LEAST = 5, 3, 1 / 3
 
 
-def discovered(found: DataFrame, rounds: int = 2, least: float = 0.8, support: int = SUPPORT) -> DataFrame:
-    """(kind, instance, score): weak instances that high-confidence patterns accept.
+def discovered(found: DataFrame, rounds: int = 3, least: float = LEAST, seeds_of: dict[str, frozenset[str]] | None = None) -> DataFrame:
+    """(kind, head, round): heads that are no seeds and score like them.
 
-    Each round scores every pattern by the mean score of its instances as often as they stand in it (seeds score 1, others what they had, 0 at
-    first) and every instance by its best pattern with at least ``support`` distinct seeds. All steps are aggregates and equi-joins over
-    distinct (pattern, instance) edges.
+    Each round scores every pattern by its heads' weights (seeds and accepted heads 1, others what they had, 0 at first) over all its
+    mentions, and every head by the mean of its patterns' scores, each without the head's own part, unless it is a seed. A head's weight
+    is its score as a share of the median seed's; from ``least`` on it is accepted. All steps are aggregates and equi-joins over distinct (head, pattern)
+    edges; only heads with enough instances and patterns take part in the joins, so a pattern meets at most one edge of each of these.
     """
-    edges = found.groupBy("kind", "pattern", "instance").agg(F.max(F.col("strong").cast("double")).alias("seed"), F.count("*").alias("n"))
-    weak = edges.filter("seed = 0").select("kind", "pattern").distinct()
-    edges = written(edges.join(weak, ["kind", "pattern"], "left_semi"), "edges")  # patterns without a weak instance decide nothing
-    scores = edges.select("kind", "pattern", "instance", F.col("seed").alias("score"), "seed", "n")
-    for _ in range(rounds):
-        patterns = scores.groupBy("kind", "pattern").agg((F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("quality"), F.sum("seed").alias("seeds")).filter(F.col("seeds") >= support)
-        best = edges.join(patterns, ["kind", "pattern"]).groupBy("kind", "instance").agg(F.max("quality").alias("best"))
-        scores = edges.join(best, ["kind", "instance"], "left").select("kind", "pattern", "instance", F.greatest("seed", F.coalesce("best", F.lit(0.0))).alias("score"), "seed", "n")
-    return scores.filter("seed = 0").groupBy("kind", "instance").agg(F.max("score").alias("score")).filter(F.col("score") >= least)
+    given = seeds_of or SEEDS
+    is_seed = F.lit(False)
+    for kind, heads in given.items():
+        is_seed |= (F.col("kind") == kind) & F.col("head").isin(*heads)
+    edges = written(found.groupBy("kind", "head", "pattern").agg(F.count("*").alias("n"), F.approx_count_distinct("instance").alias("i")), "edges")
+    totals = edges.groupBy("kind", "pattern").agg(F.sum("n").alias("total"))
+    able = found.groupBy("kind", "head").agg(F.approx_count_distinct("instance").alias("i"), F.approx_count_distinct("pattern").alias("p"))
+    able = able.withColumn("seed", is_seed).filter(F.col("seed") | ((F.col("i") >= INSTANCES) & (F.col("p") >= PATTERNS))).select("kind", "head", "seed")
+    links = written(edges.join(able, ["kind", "head"]).join(totals, ["kind", "pattern"]).select("kind", "head", "pattern", "n", "seed", "total"), "links")
+    weights = links.select("kind", "head", "pattern", "n", "seed", "total", F.col("seed").cast("double").alias("weight"))
+    accepted = None
+    for r in range(1, rounds + 1):
+        patterns = weights.groupBy("kind", "pattern").agg(F.sum(F.col("n") * F.col("weight")).alias("good"))
+        mine = weights.join(patterns, ["kind", "pattern"])
+        # two mentions that are none stand in every pattern, one in every head: what is seen once proves little
+        own = F.when(F.col("seed"), F.lit(0.0)).otherwise(F.col("n") * F.col("weight"))
+        part = (F.col("good") - own) / (F.col("total") + 2)
+        scores = mine.groupBy("kind", "head").agg((F.sum(F.col("n") * F.coalesce(part, F.lit(0.0))) / (F.sum("n") + 1)).alias("score"), F.first("seed").alias("seed"))
+        medians = scores.filter("seed and score > 0").groupBy("kind").agg(F.percentile_approx("score", 0.5).alias("median"))
+        fresh = scores.join(medians, "kind", "left").select("kind", "head", "seed", F.when(F.col("seed"), 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(F.col("score") / F.col("median"), F.lit(0.0)))).alias("weight"))
+        fresh = written(fresh, "weights")
+        now = fresh.filter(~F.col("seed") & (F.col("weight") >= least)).select("kind", "head", F.lit(r).alias("round"))
+        accepted = now if accepted is None else accepted.unionByName(now)
+        weights = links.join(fresh.select("kind", "head", "weight"), ["kind", "head"])
+    last = fresh.filter(~F.col("seed") & (F.col("weight") >= least)).select("kind", "head")
+    return accepted.groupBy("kind", "head").agg(F.min("round").alias("round")).join(last, ["kind", "head"], "left_semi")
+
+
+#: Accepted heads that are sent to the tasks; beyond these, mentions are joined with them instead.
+SENT = 200_000
+
+
+def accepted_heads(found: DataFrame, **options: object) -> tuple[dict[str, frozenset[str]] | None, DataFrame]:
+    """(heads by kind, seeds among them, or None if they are more than ``SENT``; the same as a table)."""
+    fresh = written(discovered(found, **options).select("kind", "head"), "heads")
+    spark = found.sparkSession
+    known = spark.createDataFrame([(k, h) for k, hs in SEEDS.items() for h in sorted(hs)], "kind string, head string")
+    table = known.unionByName(fresh)
+    rows = table.limit(SENT + 1).collect()
+    if len(rows) > SENT:
+        return None, table
+    heads: dict[str, set[str]] = {k: set() for k in SEEDS}
+    for r in rows:
+        heads[r["kind"]].add(r["head"])
+    return {k: frozenset(v) for k, v in heads.items()}, table
 
 
 def personal(df: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -314,21 +440,64 @@ def personal(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     repeated rows give repeated results; further columns of any name are ignored. Whole texts of any length are read.
     """
     found = written(instances(df, keys, text), "instances")
+    heads, table = accepted_heads(found)
     names = [f"_k{i}" for i in range(len(keys))]
-    able = found.filter(r"strong and kind = 'name' and pattern rlike '\\p{L}'").groupBy("pattern").agg(F.count_distinct("instance").alias("n")).filter(F.col("n") >= SUPPORT)
-    # pairs of words of any case, only where a pattern can accept them: in others they would change no score; marks and ends of texts
-    # alone tell a list of things from names by the case only
-    more = instances(df, keys, text, frozenset(r.pattern for r in able.collect()))
-    found = found.unionByName(written(more, "pairs"))
-    scores = discovered(found)
-    # digits that are accepted as two kinds are the better one
-    alike = F.when(F.col("kind").isin("phone", "id_number"), F.lit("number")).otherwise(F.col("kind"))
-    accepted = scores.groupBy(alike.alias("_alike"), "instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind")).select("kind", "instance")
-    weak = found.filter("not strong").join(accepted, ["kind", "instance"], "left_semi")
-    both = found.filter("strong").unionByName(weak)
+    plain = found.filter(~F.col("kind").isin("last", "first")).join(table, ["kind", "head"], "left_semi").select(*names, "kind", "start", "stop")
+    both = plain.unionByName(_named(df, keys, text, heads, table))
     return both.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "kind", "start", "stop")
 
 
+def _named(df: DataFrame, keys: list[str], text: str, heads: dict[str, frozenset[str]] | None, table: DataFrame) -> DataFrame:
+    """(_k0.., kind, start, stop) of the names in all texts, in any case."""
+    base, names, schema = _base(df, keys, text)
+    base = base.filter("_text is not null")
+
+    def with_heads(batches):  # noqa: ANN001, ANN202
+        for given in batches:
+            yield _spans(given, names, [[("name", a, b) for a, b in names_in(t, heads["last"], heads["first"])] for t in given.column("_text").to_pylist()])
+
+    def with_words(batches):  # noqa: ANN001, ANN202 - too many heads to send: each pair of words names the heads it would need
+        import pyarrow as pa
+
+        for given in batches:
+            at, rows = [], []
+            for i, t in enumerate(given.column("_text").to_pylist()):
+                for kind, head, a, b in pair_heads(t):
+                    at.append(i)
+                    rows.append((kind, head, a, b))
+            columns = [*zip(*rows, strict=True)] or [()] * 4
+            arrays = [pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.string(), pa.int32(), pa.int32()], strict=True)]
+            yield pa.RecordBatch.from_arrays([*[given.column(n).take(pa.array(at, pa.int64())) for n in names], *arrays], names=[*names, "kind", "head", "start", "stop"])
+
+    if heads is not None:
+        return base.mapInArrow(with_heads, schema + ", kind string, start int, stop int")
+    each = base.mapInArrow(with_words, schema + ", kind string, head string, start int, stop int").join(table, ["kind", "head"], "left_semi")
+    return each.select(*names, F.lit("name").alias("kind"), "start", "stop")
+
+
+def pair_heads(text: str) -> Iterable[tuple[str, str, int, int]]:
+    """(kind, head, start, end) for every pair of words that would be a name if the head were accepted."""
+    low = lower(text)
+    words = {w for pair in _PAIR.finditer(low) for w in (pair[1], pair[2])} | {m[0] for m in re.finditer(rf"{_WORD}{{2,}}", low)}
+    for word in words:
+        for cut in range(len(word), 1, -1):
+            for name in {word[:cut], word[: cut - 1] + {"á": "a", "é": "e"}.get(word[cut - 1], word[cut - 1])}:
+                for kind in ("last", "first"):
+                    one = frozenset([name])
+                    for a, b in names_in(text, one if kind == "last" else frozenset(), one if kind == "first" else frozenset()):
+                        yield kind, name, a, b
+
+
+def _spans(given, names: list[str], spans: list[list[tuple[str, int, int]]]):  # noqa: ANN001, ANN202
+    """A batch of (keys, kind, start, stop) from the spans of each row of ``given``."""
+    import pyarrow as pa
+
+    at = pa.array([i for i, s in enumerate(spans) for _ in s], pa.int64())
+    flat = [x for s in spans for x in s]
+    arrays = [pa.array([x[k] for x in flat], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int32()))]
+    return pa.RecordBatch.from_arrays([*[given.column(n).take(at) for n in names], *arrays], names=[*names, "kind", "start", "stop"])
+
+
 # The placeholders.
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[TELEFON]", "id_number": "[AZONOSÍTÓ]", "address": "[CÍM]", "name": "[NÉV]"}
 
@@ -336,23 +505,29 @@ PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[TELEFON]", "id_number": "[AZONOS
 def redacted(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, redacted) for every row: ``text`` with each identifier replaced by the placeholder of its kind.
 
-    Where spans overlap the one that begins first, or else the longer one, counts. Keys are expected to name a row.
+    Where spans overlap the one that begins first, or else the longer one, counts. The accepted heads are sent to the tasks, so texts are
+    not shuffled; only if there are more than ``SENT`` of them the spans are joined to the texts by ``keys``, which then must name a row.
     """
-    spans = personal(df, keys, text).groupBy(*keys).agg(F.collect_list(F.struct("start", "stop", "kind")).alias("_spans"))
-    names = [f"_k{i}" for i in range(len(keys))]
-    base = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{text}`").alias("_text"))
-    joined = base.join(spans.toDF(*names, "_spans"), names, "left")
-    types = dict(base.dtypes)
+    heads, _ = accepted_heads(written(instances(df, keys, text), "instances"))
+    base, names, schema = _base(df, keys, text)
+    spans_type = "array<struct<kind: string, start: int, stop: int>>"
+    if heads is None:
+        spans = personal(df, keys, text).toDF(*names, "kind", "start", "stop").groupBy(*names).agg(F.collect_list(F.struct("kind", "start", "stop")).alias("_spans"))
+        base = base.join(spans, names, "left")
+    else:
+        base = base.withColumn("_spans", F.lit(None).cast(spans_type))
 
     def run(batches):  # noqa: ANN001, ANN202
         import pyarrow as pa
 
         for given in batches:
-            out = [replace(t, [(s["start"], s["stop"], s["kind"]) for s in spans or []]) for t, spans in zip(given.column("_text").to_pylist(), given.column("_spans").to_pylist(), strict=True)]
+            out = []
+            for t, own in zip(given.column("_text").to_pylist(), given.column("_spans").to_pylist(), strict=True):
+                spans = [(s["start"], s["stop"], s["kind"]) for s in own or []] if heads is None else [(a, b, kind) for kind, a, b in (seeds(t, heads) if t else [])]
+                out.append(replace(t, spans))
             yield pa.RecordBatch.from_arrays([*[given.column(n) for n in names], pa.array(out, pa.string())], names=[*names, "redacted"])
 
-    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", redacted string"
-    return joined.mapInArrow(run, schema).toDF(*keys, "redacted")
+    return base.mapInArrow(run, schema + ", redacted string").toDF(*keys, "redacted")
 
 
 def replace(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
