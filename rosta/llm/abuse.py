@@ -137,13 +137,16 @@ class Trie:
     def rows(self, word: str, most: int, swaps: bool) -> list[tuple[str, list[int]]]:
         """(term, its distance to each prefix of ``word``) where one is within ``most``; states of the automaton are rows of distances cut at ``most``."""
         out: list[tuple[str, list[int]]] = []
-        stack = [(self.root, [*range(len(word) + 1)], [], "")]
+        letters = set(word)
+        stack = [(self.root, [*range(len(word) + 1)], [], "", 0)]
         while stack:
-            node, row, before, last = stack.pop()
+            node, row, before, last, missing = stack.pop()
             if "" in node and min(row) <= most:
                 out.append((node[""], row))
             for c, below in node.items():
-                if c:
+                # each letter of a term that the word lacks costs an edit
+                lacks = missing + (c not in letters)
+                if c and lacks <= most:
                     new = [row[0] + 1]
                     for i, w in enumerate(word):
                         cost = min(row[i + 1] + 1, new[i] + 1, row[i] + (w != c))
@@ -151,7 +154,7 @@ class Trie:
                             cost = min(cost, before[i - 1] + 1)
                         new.append(cost)
                     if min(new) <= most or (swaps and min(row) < most):
-                        stack.append((below, new, row, c))
+                        stack.append((below, new, row, c, lacks))
         return out
 
 
