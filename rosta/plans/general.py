@@ -46,6 +46,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_instants(spark, sf_dir).filter("utc_ms is not null").select("src", "row_id", "utc_ms")
 
 
+def p3_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dated row with the instant that its source's chain chooses where no rule states the order of day and month or the side of a clock change."""
+    rows = dated_rows(spark, sf_dir)
+    return resolve_instants(rows, ["src", "row_id"], ["src", "origin"], "row_id", "date", "scraped_at", "zone", day_first=None, first_side=None)
+
+
 FLAT = ("comments", "authors", "details", "crumbs", "replies")
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found} | {f"p2_{name}": _flat(name) for name in FLAT}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_chained": p3_chained} | {f"p2_{name}": _flat(name) for name in FLAT}
 ORACLES: dict[str, str] = {}
