@@ -3,7 +3,8 @@
 Statistics are counted for whole batches at once over arrays of character classes. A prose model (mean and covariance of all
 statistics) is estimated for each language and length class over all texts: from medians and median deviations, then in
 concentration steps that keep the texts near the model. The squared Mahalanobis distance of a text is its outlierness; each
-statistic's contribution adds up to it.
+statistic's contribution adds up to it. No statistic grows with the length of a text: counts are shares, repeated words are looked for
+among the words just before, and the words of a line count by a curve that levels off.
 """
 
 from __future__ import annotations
@@ -11,17 +12,17 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosta.llm.personal import seeds
-from rosta.llm.residue import coverage, fold
+from rosta.llm.personal import mentions, name_pairs
 from rosta.session import written
 
-STATISTICS = ("common_share", "log_mean_word", "symbol_ratio", "digit_ratio", "separator_rate", "end_share", "log_words_per_line", "repeat_share", "vowel_share", "log_longest_word", "mixed_share", "line_break_rate", "cluster_share")
+STATISTICS = ("common_share", "log_mean_word", "symbol_ratio", "digit_ratio", "separator_rate", "end_share", "line_fill", "repeat_share", "vowel_share", "long_share", "mixed_share", "line_break_rate", "cluster_share")
 COUNTS = ("chars", "words", "lines")
 WHOLE = ("text_chars", "text_words", "text_lines")  # counts of the text as it is
 LENGTHS = (8, 20)  # words up to which a text is short or middling
@@ -33,9 +34,15 @@ POINTS = ".!?…)\"”:"
 SEPARATORS = ",;|:\t/+=»<>"
 _WORD = re.compile(r"\w+")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_\d][ .]){3,}[^\W_\d](?![^\W_])")
-_MAYBE = re.compile(r"\d{3}|@|kukac|\bat\b|nulla hat")
+_MAYBE = re.compile(r"\d{3}|@|kukac|\bat\b|nulla hat|\b(?:u\.|utca|út|tér|köz|sor|sétány|dűlő|street|road|stra(?:ß|ss)e|str\.) \d", re.I)
+# Kinds of public places of the languages.
+PLACES = frozenset("utca utcája út útja u tér tere köz köze sor sora sétány sétánya dűlő krt körút fasor rakpart liget street road avenue lane straße strasse gasse platz weg allee ул".split())
+#: Words before a word among which it is a repetition.
+AMONG = 40
+#: Letters from which a word is long, and the words of a line at which a line is half full.
+LONG, HALF = 12, 12
 #: Squared distance from which a text as a whole is no prose.
-LEAST = 45.0
+LEAST = 40.0
 
 
 @lru_cache(1)
@@ -56,19 +63,42 @@ def _classes() -> np.ndarray:
     return out
 
 
+def contacts(text: str) -> list[tuple[int, int]]:
+    """Places of e-mail addresses, telephone and identity numbers and street addresses, apart from each other, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for kind, head, a, b, _ in mentions(text) if kind in ("email", "phone", "address", "id_number") and not head.startswith("groups") and (kind != "address" or head in PLACES)):
+        if not out or a >= out[-1][1]:
+            out.append((a, b))
+    return out
+
+
+#: Share of a line that contact data must cover for the line to be one of contact data; two capitalised words must be two fifths of it.
+CONTACT = 0.2
+
+
 def core(text: str) -> str:
-    """``text`` without lines of contact data before or after the rest; a word spaced out letter by letter is one word."""
+    """``text`` without contact data: whole lines of it before or after the rest, and what stands within a text of one line.
+
+    A word spaced out letter by letter is one word. Texts and lines of all lengths are treated alike.
+    """
     text = _SPACED.sub(lambda m: m.group().replace(" ", "").replace(".", ""), text.replace("&nbsp;", " "))
-    if "\n" not in text:
-        if len(text) < 200 and _MAYBE.search(text):  # contact data within a short line
-            for _, a, b in sorted(seeds(text), key=lambda s: -s[1]):
-                text = text[:a] + text[b:]
+    if not _MAYBE.search(text):
+        return text
+    if "\n" not in text.strip():
+        for a, b in reversed(contacts(text)):
+            text = text[:a] + text[b:]
         return text
+
+    def contact(line: str) -> bool:
+        if sum(b - a for a, b in contacts(line)) >= CONTACT * len(line.strip()):
+            return True
+        return 5 * sum(b - a for *_, a, b in name_pairs(line)) >= 2 * len(line.strip())
+
     lines = [line for line in text.split("\n") if line.strip()]
     a, b = 0, len(lines)
-    while a < b - 1 and a < 4 and len(lines[a]) < 160 and seeds(lines[a]):
+    while a < b - 1 and contact(lines[a]):
         a += 1
-    while b > a + 1 and len(lines) - b < 4 and len(lines[b - 1]) < 160 and seeds(lines[b - 1]):
+    while b > a + 1 and contact(lines[b - 1]):
         b -= 1
     return "\n".join(lines[a:b])
 
@@ -97,9 +127,9 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
     stop[:-1] &= ~inside[1:]
     length = np.flatnonzero(stop) + 1 - at
     words = add(begin)
-    longest = np.zeros(len(codes), np.int64)
-    longest[at] = length
-    longest = np.maximum.reduceat(longest, starts)
+    over = np.zeros(len(codes), np.int64)
+    over[at] = np.maximum(length - LONG, 0)
+    over = np.add.reduceat(over, starts)
     some_digit = np.zeros(len(codes) + 1, np.int64)
     some_digit[1:] = np.cumsum(digit)
     has_digit = (some_digit[at + length] - some_digit[at]) > 0
@@ -129,19 +159,24 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
     line[breaks[full]] = True
     good[breaks[ended]] = True
     lines, ends = np.maximum(add(line), 1), add(good)
-    # words by their text: frequent words of a language, and words that occurred among the ten before
+    # words by their text: frequent words of a language, and words that occurred among the ``AMONG`` before
     hits = np.zeros((len(texts), languages), np.int64)
     repeats = np.zeros(len(texts), np.int64)
     bits = [1 << k for k in range(languages)]
     for i, t in enumerate(texts):
         found = _WORD.findall(t.lower())
-        for w in found:
-            b = common.get(w)
-            if b:
-                for k in range(languages):
-                    if b & bits[k]:
-                        hits[i, k] += 1
-        repeats[i] = len(found) - len(set(found))
+        for word, times in Counter(x for x in found if x in common).items():
+            for k in range(languages):
+                if common[word] & bits[k]:
+                    hits[i, k] += times
+        if len(found) <= AMONG:
+            repeats[i] = len(found) - len(set(found))
+        else:
+            last: dict[str, int] = {}
+            for place, word in enumerate(found):
+                if place - last.get(word, -AMONG - 1) <= AMONG:
+                    repeats[i] += 1
+                last[word] = place
     language = np.where(hits.max(axis=1) > 0, hits.argmax(axis=1), -1)
     w = np.maximum(words, 1)
     values = np.stack(
@@ -152,10 +187,10 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
             digits / n,
             separators / w,
             ends / lines,
-            np.log(words / lines + 1),
+            words / (words + HALF * lines),
             repeats / w,
             vowels / np.maximum(letters, 1),
-            np.log(longest + 1.0),
+            over / np.maximum(letters + digits, 1),
             mixed / w,
             (lines - 1) / w,
             cluster / np.maximum(letters, 1),
@@ -166,9 +201,9 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
 
 
 def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20) -> DataFrame:
-    """(keys, language, residue, contact, chars, words, lines, one column per statistic, the same of the whole text) of every text of at least ``least`` characters.
+    """(keys, language, contact, chars, words, lines, one column per statistic, the same of the whole text) of every text of at least ``least`` characters.
 
-    residue: whether evidence of templates, fillers or notices covers most of the text. contact: whether it is all contact data.
+    contact: whether a text is all contact data.
     chars, words, lines and the statistics leave out lines of contact data around a text, unless it is all contact data; text_chars,
     text_words, text_lines and text_statistics (an array in the order of ``STATISTICS``) are those of the whole text.
 
@@ -212,15 +247,14 @@ def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str,
             null = np.array([t is None for t in texts], bool)
             arrays = [given.column(n) for n in names]
             arrays.append(pa.array([languages[k] if k >= 0 else default if k == -1 else None for k in language.tolist()], pa.string()))
-            arrays.append(pa.array([bool(c) and _residue(c) for c in cores], pa.bool_()))
             arrays.append(pa.array(contact, pa.bool_()))
             arrays += [pa.array(counts[:, k], pa.int64()) for k in range(3)]
             arrays += [pa.array(values[:, k], pa.float64()) for k in range(len(STATISTICS))]
             arrays += [pa.array(sizes[:, k], pa.int64(), mask=null) for k in range(3)]
             arrays.append(_lists(whole, null))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "language", "residue", "contact", *COUNTS, *STATISTICS, *WHOLE, "text_statistics"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "language", "contact", *COUNTS, *STATISTICS, *WHOLE, "text_statistics"])
 
-    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", language string, residue boolean, contact boolean, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(f"{s} double" for s in STATISTICS) + ", " + ", ".join(f"{c} bigint" for c in WHOLE) + ", text_statistics array<double>"
+    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", language string, contact boolean, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(f"{s} double" for s in STATISTICS) + ", " + ", ".join(f"{c} bigint" for c in WHOLE) + ", text_statistics array<double>"
     return base.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keys, strict=True)))
 
 
@@ -232,11 +266,6 @@ def _lists(values: np.ndarray, null: np.ndarray):  # noqa: ANN202
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[~null].reshape(-1), pa.float64()), mask=pa.array(null))
 
 
-def _residue(text: str) -> bool:
-    inside, total = coverage(fold(text))
-    return inside > 0 and inside >= 0.6 * total
-
-
 def _fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
@@ -246,7 +275,7 @@ Model = dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
 #: The group whose model serves groups without one: all texts together.
 OTHER = ("", -1)
 #: Smallest deviations of the statistics, so that one that hardly varies in prose does not decide alone.
-FLOOR = np.array([0.08, 0.15, 0.02, 0.03, 0.10, 0.25, 0.45, 0.15, 0.04, 0.25, 0.06, 0.06, 0.04])
+FLOOR = np.array([0.08, 0.15, 0.02, 0.03, 0.10, 0.25, 0.12, 0.12, 0.04, 0.05, 0.06, 0.06, 0.04])
 
 
 def _group(df: DataFrame) -> DataFrame:

@@ -124,8 +124,9 @@ def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts that are as a whole lists, tables or junk."""
-    return p7_statistics(spark, sf_dir).filter(f"{JUDGED} and distance >= {quality.LEAST} and not residue").select("src", "row_id")
+    """Texts that are as a whole lists, tables or junk, those of p5_found left out."""
+    far = p7_statistics(spark, sf_dir).filter(f"{JUDGED} and distance >= {quality.LEAST}").select("src", "row_id")
+    return far.join(p5_found(spark, sf_dir), ["src", "row_id"], "left_anti")
 
 
 QUERIES = {"p7_found": p7_found, "p7_statistics": p7_statistics, "p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
