@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosta.functions import predicates, text, urls
 from rosta.functions.text import ENDS, SPACES, WORD
-from rosta.operators import corpus, items, paging, state
+from rosta.operators import corpus, html, items, paging, state
 from rosta.session import table
 from rosta.sources import readers, writers
 
@@ -397,3 +397,82 @@ def largest_comment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest comment id of each topic, else the largest number that its comments show."""
     rows = table(spark, sf_dir, "comments").filter("topic_url is not null")
     return rows.groupBy("topic_url").agg(F.coalesce(F.max(F.col("extra.comment_id").try_cast("bigint")), F.max(text.largest_number(F.col("data")))).alias("comments"))
+
+
+# -- further scalars and whole records --------------------------------------------------------------------------------------------
+
+scalar("clean_lines", "comments", "row_id", "data", text.clean_multiline, f"array_to_string(list_filter(list_transform(string_split(replace(coalesce({{x}}, ''), chr(13), ''), chr(10)), lambda l: {strip_sql(chr(114) + 'egexp_replace(replace(l, chr(160), chr(32)), ' + chr(39) + '[ \\t]+' + chr(39) + ', chr(32), ' + chr(39) + 'g' + chr(39) + ')')}), lambda l: l <> ''), chr(10))")
+scalar("page_heads", "topic_info", "row_id", "topic_title", lambda x: text.html_head(F.concat(F.lit("<HTML><Head a>"), x, F.lit("</head><body></body>"))), "'<Head a>' || {x} || '</head>'")
+scalar("head_of_file", "topic_docs", "file_id", "raw", lambda x: F.hex(F.substring(F.encode(x, "UTF-8"), 1, 512)), "left(hex(encode({x})), 1024)")
+scalar("earlier_ranges", "topic_info", "row_id", "row_id", lambda x: urls.previous_range(F.concat(F.lit("https://a.test/t/hsz_"), ((x % 7) * 100 + 1).cast("string"), F.lit("-"), ((x % 7) * 100 + 100).cast("string"), F.lit(".html"))), "CASE WHEN {x} % 7 > 0 THEN 'https://a.test/t/hsz_' || (({x} % 7) * 100 - 99) || '-' || (({x} % 7) * 100) || '.html#msg' || (({x} % 7) * 100 + 1) END")
+scalar("next_starts", "topic_info", "row_id", "thread_id", lambda x: urls.next_start(F.concat(F.lit("https://a.test/?na_start="), x, F.lit("&na_step=30"))), "CASE WHEN regexp_matches({x}, '^[0-9]+$') THEN CAST({x} AS BIGINT) + 30 END")
+scalar("absolute_links", "ad_details", "row_id", "url", lambda x: urls.absolute(F.lit("https://zsibi.test/a/b?c=1#d"), F.regexp_replace(x, "^https://[^/]*/[^/]*", "..")), "regexp_replace({x}, '^https://[^/]*/[^/]*', 'https://zsibi.test')")
+scalar("url_with_page", "topic_info", "row_id", "topic_url", lambda x: urls.with_param(F.concat(x, F.lit("#c")), F.lit("page"), F.lit("4")), "{x} || CASE WHEN contains({x}, '?') THEN '&' ELSE '?' END || 'page=4'")
+
+
+@query(f"SELECT row_id, {line_sql('replace(replace(t, chr(38), chr(38)), chr(13), chr(10))')} AS title FROM (SELECT row_id, topic_title AS t FROM topic_info WHERE topic_title IS NOT NULL AND {line_sql('topic_title')} <> '' AND NOT contains(topic_title, '<') AND NOT contains(topic_title, '&'))")
+def titles_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles read back from pages whose heading, named second in the chain, holds them."""
+    shown = table(spark, sf_dir, "topic_info").filter("not contains(topic_title, '<') and not contains(topic_title, '&')").filter(text.one_line(F.col("topic_title")) != "")
+    pages = shown.select("row_id", F.concat(F.lit("<html><body><h1>"), F.col("topic_title"), F.lit("</h1></body></html>")).alias("html"), F.lit("https://a.test/").alias("url"))
+    return html.extract(pages, ["row_id"], "html", "url", html.PAGE_TITLE).select("row_id", text.one_line(F.col("title")).alias("title"))
+
+
+@query("SELECT row_id, 0 AS place, topic_url AS url, 'x' AS title FROM topic_info WHERE topic_url IS NOT NULL UNION ALL SELECT row_id, 1, 'https://a.test/b/c', 'y' FROM topic_info WHERE topic_url IS NOT NULL")
+def harvested_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of a page, absolute and with their places; one without an address is none."""
+    page = F.concat(F.lit('<a name="n">z</a><p><a href="'), F.col("topic_url"), F.lit('">x</a><a href="../b/c" title="y"></a>'))
+    pages = table(spark, sf_dir, "topic_info").filter("topic_url is not null").select("row_id", page.alias("html"), F.lit("https://a.test/d/e").alias("url"))
+    return html.extract(pages, ["row_id"], "html", "url", html.LINKS).select("row_id", "place", "url", "title")
+
+
+@query("SELECT row_id, page_no + 1 AS next_page FROM comments WHERE page_no IS NOT NULL")
+def pagers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next pages read from pagers that show the pages around the current one."""
+    link = lambda n: F.concat(F.lit('<a href="?page='), n.cast("string"), F.lit('">'), n.cast("string"), F.lit("</a>"))
+    n = F.col("page_no")
+    page = F.concat(F.lit('<div class="pager">'), link(n - 1), F.lit("<b>"), n.cast("string"), F.lit("</b>"), link(n + 2), link(n + 1), F.lit("</div>"))
+    pages = table(spark, sf_dir, "comments").filter("page_no is not null").select("row_id", "page_no", page.alias("html"), F.lit("https://a.test/t").alias("url"))
+    links = html.extract(pages, ["row_id", "page_no"], "html", "url", html.PAGER).groupBy("row_id", "page_no").agg(F.collect_list(urls.page_number(F.col("url"))).alias("c"))
+    return links.select("row_id", paging.next_page(F.col("c"), F.col("page_no").cast("bigint")).cast("int").alias("next_page"))
+
+
+@query(
+    f"""SELECT row_id, {_AUTHOR} AS shown, CASE WHEN len(p) < 2 THEN p[1] END AS name, CASE WHEN len(p) >= 2 THEN p[1] END AS family, CASE WHEN len(p) >= 2 THEN array_to_string(p[2:], ' ') END AS given, likes, dislikes, rating, date, url, CASE WHEN coalesce(extra.is_offtopic, false) THEN 'offtopic' ELSE '' END AS tags,
+    extra.parent_author AS parent_author, extra.index_total AS index_total, extra.is_offtopic AS is_offtopic, 'szerzői jog' AS rights FROM (SELECT *, regexp_extract_all({_AUTHOR}, '{WORD}') AS p FROM comments)"""
+)
+def whole_comment_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other parts of comments as output items, and the constant rights note."""
+    author = F.coalesce(F.get("authors", F.lit(0))["name"], F.concat_ws(" ", F.get("authors", F.lit(0))["family"], F.get("authors", F.lit(0))["given"]))
+    rows = table(spark, sf_dir, "comments")
+    extra = [F.col(f"extra.{n}").alias(n) for n in ("comment_id", "parent_author", "index", "index_total", "is_offtopic")]
+    rows = rows.select("row_id", author.alias("author"), "date", "likes", "dislikes", "rating", "url", "data", *extra)
+    made = rows.select("row_id", F.col("author").alias("shown"), items.comment_item().alias("i"), items.rights("szerzői jog"))
+    first = F.get("i.authors", F.lit(0))
+    return made.select("row_id", "shown", first["name"].alias("name"), first["family"].alias("family"), first["given"].alias("given"), "i.likes", "i.dislikes", "i.rating", "i.date", "i.url", F.array_join("i.tags", ",").alias("tags"), "i.extra.parent_author", "i.extra.index_total", "i.extra.is_offtopic", "rights")
+
+
+@query("SELECT row_id, extra.seller_name AS seller, extra.comment_id AS ad_id, extra.details['Állapot'] AS state, CAST(coalesce(cardinality(extra.details), 0) AS INTEGER) AS details FROM comments WHERE extra.details IS NOT NULL")
+def ads_with_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified ads as output items with their details map."""
+    rows = table(spark, sf_dir, "comments").filter("extra.details is not null")
+    rows = rows.select("row_id", F.col("extra.title").alias("title"), F.col("extra.seller_name").alias("seller"), "date", F.col("data").alias("description"), "url", F.col("extra.comment_id").alias("ad_id"), F.col("extra.details").alias("details"))
+    made = rows.select("row_id", items.ad_item(with_details=True).alias("i"))
+    return made.select("row_id", "i.extra.seller", "i.extra.ad_id", F.try_element_at("i.extra.details", F.lit("Állapot")).alias("state"), F.size("i.extra.details").alias("details"))
+
+
+@query("SELECT row_id FROM (SELECT row_id, row_number() OVER (PARTITION BY topic_url, page_no, coalesce(extra.comment_id, ''), coalesce(date, ''), substr(" + clean_sql("data") + ", 1, 300) ORDER BY row_id) AS n FROM comments WHERE topic_url IS NOT NULL) WHERE n = 1")
+def first_of_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First comment of each signature on a page; signatures are hashed before they are shuffled."""
+    rows = table(spark, sf_dir, "comments").filter("topic_url is not null")
+    sign = state.signature(F.col("extra.comment_id"), F.lit(None).cast("string"), F.col("date"), F.col("data"))
+    keyed = rows.select("topic_url", "page_no", F.sha1(sign).alias("sign"), "row_id")
+    return state.first_of(keyed, ["topic_url", "page_no", "sign"], ["row_id"]).select("row_id")
+
+
+@query("SELECT origin, group_title, topic_url, page_no, count(*) AS comments FROM (SELECT DISTINCT origin, group_title, topic_url FROM topic_info) JOIN (SELECT topic_url, page_no FROM comments) USING (topic_url) GROUP BY ALL")
+def comments_by_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments counted along group, topic and page; comments are counted by page before they are joined."""
+    topics = table(spark, sf_dir, "topic_info").select("origin", "group_title", "topic_url").distinct()
+    pages = table(spark, sf_dir, "comments").filter("topic_url is not null").groupBy("topic_url", "page_no").agg(F.count("*").alias("n"))
+    return topics.join(pages, "topic_url").groupBy("origin", "group_title", "topic_url", "page_no").agg(F.sum("n").alias("comments"))

@@ -1,7 +1,9 @@
 """One local session for all tests."""
 
 import os
+import shutil
 import sys
+import tempfile
 
 import pytest
 
@@ -12,8 +14,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
+    folder = tempfile.mkdtemp(prefix="rosta-tests-")
     session = (
         SparkSession.builder.master("local[4]")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -24,6 +28,7 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 @pytest.fixture(scope="session")
