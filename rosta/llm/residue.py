@@ -133,7 +133,7 @@ def _spans(line: str, tries: set[int]) -> list[tuple[int, int]]:
     spans = [m.span() for i in tries if i >= 0 for m in _MARKS[i].finditer(line) if m.end() > m.start()]
     tags = {m.start() for m in _TAGS.finditer(line)} if -1 in tries else set()
     slots = [m.span() for m in _PLACEHOLDER.finditer(line) if m.start() not in tags and m.start() + 1 not in tags] if -1 in tries else []
-    pairs = [_PAIRS[-10 - i] for i in tries if i <= -10]
+    pairs = [pair for pair in (_PAIRS[-10 - i] for i in tries if i <= -10) if pair[1].search(line) and pair[0].search(line)]
     whole: list[tuple[int, int]] = []
     if slots or pairs:
         for m in _SENTENCE.finditer(line):
@@ -207,7 +207,8 @@ def residue(df: DataFrame, keys: list[str], host: str, text: str, least: float =
             at, lines, inside, total, slots = [], [], [], [], []
             for i, raw in enumerate(texts):
                 low = fold(raw)
-                if not _tries(low) or not coverage(low)[0]:
+                tries = _tries(low)
+                if not tries or not _spans(low, tries):
                     continue
                 measured = [(line, *coverage(fold(line))) for line in raw.split("\n") if line.strip()]
                 if any(c for _, c, _ in measured):
