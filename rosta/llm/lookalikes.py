@@ -13,18 +13,19 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosta.session import written
 
 # Letters that look like a plain Latin letter, by the Latin letter.
 LOOKALIKES = {
-    "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СϹᏟ", "D": "Ꭰ", "E": "ЕΕᎬ", "H": "НΗᎻ", "I": "ІΙӀ", "J": "ЈͿᎫ", "K": "КΚᏦ", "L": "ԼᏞ", "M": "МΜᎷ",
-    "N": "Ν", "O": "ОΟՕ", "P": "РΡᏢ", "Q": "Ԛ", "S": "ЅՏᏚ", "T": "ТΤᎢ", "U": "Ս", "V": "ѴᏙ", "W": "ԜᎳ", "X": "ХΧ", "Y": "УΥҮ", "Z": "ΖᏃ",
-    "a": "аɑ", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡց", "h": "һհ", "i": "і", "j": "јϳյ", "l": "ӏ", "n": "ո", "o": "оοօ", "p": "рρ",
+    "A": "АΑᎪꓮ", "B": "ВΒᏴꓐ", "C": "СϹᏟꓚ", "D": "Ꭰꓓ", "E": "ЕΕᎬꓰ", "H": "НΗᎻꓧ", "I": "ІΙӀꓲ", "J": "ЈͿᎫꓙ", "K": "КΚᏦꓗ", "L": "ԼᏞꓡ", "M": "МΜᎷꓟ",
+    "N": "Νꓠ", "O": "ОΟՕꓳ", "P": "РΡᏢꓑ", "Q": "Ԛ", "S": "ЅՏᏚꓢ", "T": "ТΤᎢꓔ", "U": "Սꓴ", "V": "ѴᏙꓦ", "W": "ԜᎳꓪ", "X": "ХΧꓫ", "Y": "УΥҮꓬ", "Z": "ΖᏃꓜ",
+    "a": "аɑα", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡց", "h": "һհ", "i": "іι", "j": "јϳյ", "l": "ӏ", "n": "ո", "o": "оοօ", "p": "рρ",
     "q": "ԛզ", "s": "ѕ", "u": "ս", "v": "ѵν", "w": "ԝ", "x": "х", "y": "уү",
     "-": "‐‑",
+    "F": "ꓝ", "G": "ꓖ", "R": "ꓣ",
 }
 
 # Ranges of compatibility characters that look like what they decompose to, besides wide forms and spaces.
@@ -209,13 +210,65 @@ def canonical(df: DataFrame, key: str, text: str) -> DataFrame:
     return out.toDF(key, "canonical")
 
 
-def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: pairs of rows whose texts look the same but differ in their characters.
+def canonical_by_joins(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, canonical) as ``canonical``, but as relational steps: texts exploded to positioned code points, broadcast joins with the mappings, marks ordered by class, strings rebuilt.
 
-    Rows meet by a hash of the one form; variants (distinct texts) are paired first, so that exact copies are counted before
-    any of them is joined, and only groups with two variants go on to their documents. Null keys, null texts and texts without
-    a visible character give no pairs; a key that repeats gives each of its pairs once.
+    The mappings are broadcast: their size is that of the Unicode data. Only texts that a mapping touches are exploded, and each of these is grouped
+    again by its key, so keys are expected to name a row. It is kept for comparison: it moves one row for each code point of a touched text.
     """
+    spark, t = df.sparkSession, tables()
+    changed = [(int(c), [int(x) for x in t.flat[t.first[c] : t.first[c] + t.length[c]]]) for c in np.flatnonzero(t.changed)]
+    parts = F.broadcast(spark.createDataFrame(changed, "code int, parts array<int>"))
+    classes = F.broadcast(spark.createDataFrame([(int(c), int(t.ccc[c])) for c in np.flatnonzero(t.ccc)], "code int, class int"))
+    hidden = F.broadcast(spark.createDataFrame([(int(c),) for c in np.flatnonzero(t.hidden) if c != JOINER], "code int"))
+    base = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
+    plain = F.col("_text").isNull() | F.col("_text").rlike(r"^[\x09\x0a\x20-\x7e]*$")
+    lines = F.regexp_replace(F.regexp_replace("_text", "\r\n", "\n"), "\r", "\n")
+    each = base.filter(~plain).select("_key", F.posexplode(F.split(lines, "")).alias("place", "char")).filter("char <> ''").select("_key", "place", F.ascii("char").alias("code"))
+    each = each.join(hidden, "code", "left_anti").join(parts, "code", "left")
+    each = each.select("_key", "place", F.posexplode(F.coalesce("parts", F.array("code"))).alias("step", "code")).join(classes, "code", "left").withColumn("class", F.coalesce("class", F.lit(0)))
+    rows = each.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("place", "step", "code", "class"))).alias("codes"))
+
+    def run(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        for given in batches:
+            out = [_recomposed([(c["code"], c["class"]) for c in codes]) for codes in given.column("codes").to_pylist()]
+            yield pa.RecordBatch.from_arrays([given.column("_key"), pa.array(out, pa.string())], names=["_key", "canonical"])
+
+    kind = dict(base.dtypes)["_key"]
+    rebuilt = rows.mapInArrow(run, f"_key {kind}, canonical string")
+    whole = base.join(rebuilt, "_key", "left").select("_key", F.when(plain, lines).otherwise(F.coalesce("canonical", F.lit(""))).alias("canonical"))
+    return whole.toDF(key, "canonical")
+
+
+def _recomposed(codes: list[tuple[int, int]]) -> str:
+    """Code points with their classes to a string: runs of marks ordered by class, pairs composed."""
+    t, out, k = tables(), [], 0
+    while k < len(codes):
+        end = k + 1
+        while end < len(codes) and codes[end][1]:
+            end += 1
+        run = [codes[k], *sorted(codes[k + 1 : end], key=lambda c: c[1])] if not codes[k][1] else sorted(codes[k:end], key=lambda c: c[1])
+        base, last, kept = (run[0][0], 0, []) if not run[0][1] else (None, 0, [run[0]])
+        if base is not None and out and not codes[k][1] and (whole := t.compose(out[-1], base)) is not None and 0x1161 <= base < 0x11C3:
+            out[-1] = whole
+            base = None
+            run = run[:1] if len(run) == 1 else run
+        for code, mark in run[1:]:
+            whole = t.compose(base, code) if base is not None and not (last and last >= mark) else None
+            if whole is not None:
+                base = whole
+            else:
+                kept.append((code, mark))
+                last = mark
+        out += ([base] if base is not None else []) + [c for c, _ in kept]
+        k = end
+    return "".join(map(chr, out))
+
+
+def _looks(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, look, variant): hashes of the one form and of the text itself of every row with a key and a visible character."""
 
     def run(batches):  # noqa: ANN001, ANN202
         import hashlib
@@ -234,7 +287,34 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
 
     kind = dict(df.dtypes)[key]
     hashed = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, f"id {kind}, look binary, variant binary")
-    rows = written(hashed, "looks")  # two hashes a row: the texts are read and unified once
+    return written(hashed, "looks")  # two hashes a row: the texts are read and unified once
+
+
+def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, class_id, variant_no, links) of every row whose text looks like another one that differs in its characters.
+
+    class_id is the smallest key of all rows that look the same, variant_no numbers their different texts from 1 (by their hash), links is
+    the number of rows of the class with another text. Nothing is paired, so a class of any size takes one row for each member. Rows that
+    give no pairs in ``lookalike_pairs`` are left out; a key that repeats has a row for each of its rows.
+    """
+    rows = _looks(df, key, text)
+    variants = rows.groupBy("look", "variant").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    classes = variants.groupBy("look").agg(F.sum("n").alias("all"), F.min("first").alias("class_id"), F.count("*").alias("variants")).filter("variants > 1")
+    # a class has as many variants as there are spellings of one text, whatever its number of rows
+    order = Window.partitionBy("look").orderBy("variant")
+    named = variants.join(classes, "look").select("look", "variant", "class_id", F.row_number().over(order).alias("variant_no"), (F.col("all") - F.col("n")).alias("links"))
+    return rows.join(named, ["look", "variant"]).select(F.col("id").alias(key), "class_id", "variant_no", "links")
+
+
+def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_a, doc_b), doc_a < doc_b: pairs of rows whose texts look the same but differ in their characters.
+
+    Rows meet by a hash of the one form; variants (distinct texts) are paired first, so that exact copies are counted before
+    any of them is joined, and only groups with two variants go on to their documents. Null keys, null texts and texts without
+    a visible character give no pairs; a key that repeats gives each of its pairs once.
+    """
+
+    rows = _looks(df, key, text)
     # groups with several variants, found by two running extremes per group: no group is collected
     mixed = rows.groupBy("look").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).filter("low <> high").select("look")
     members = rows.join(mixed, "look", "left_semi")

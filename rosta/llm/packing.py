@@ -1,6 +1,6 @@
 """Filling containers of fixed capacity with items, by exact complements of their lengths.
 
-Only the histogram of lengths, which has at most ``capacity`` rows, is planned in one place. The planner opens a container with
+Only the histogram of lengths, which has at most ``capacity`` rows a pack, is planned in one place, by a task for each pack. The planner opens a container with
 the longest item left, looks up single lengths, pairs and triples that fill the gap exactly, and where there is none adds the
 longest item that fits and looks again. Each plan is used as often as the counts of its lengths allow, so there are never
 more plans than lengths. Items find their slot by their rank among the items of their length.
@@ -29,14 +29,18 @@ class Plan:
 
 
 def _exact(gap: int, left: np.ndarray, pairs: np.ndarray) -> list[int] | None:
-    """One, two or three available lengths that sum to ``gap``, the longest first; ``pairs`` marks sums that pairs had."""
+    """One, two or three available lengths that sum to ``gap``, the longest first; ``pairs`` counts the pairs of lengths by their sum.
+
+    The third length is looked for among all that leave the sum of a pair. A pair of one length with itself may be there once only, so
+    a candidate can fail; then the next one is tried, to the last.
+    """
     if left[gap] > 0:
         return [gap]
     two = _pair(gap, left)
     if two:
         return two
-    third = np.flatnonzero((left[1:gap] > 0) & pairs[gap - 1 : 0 : -1]) + 1
-    for c in third[::-1][:64].tolist():
+    third = np.flatnonzero((left[1:gap] > 0) & (pairs[gap - 1 : 0 : -1] > 0)) + 1
+    for c in third[::-1].tolist():
         left[c] -= 1
         two = _pair(gap - c, left)
         left[c] += 1
@@ -50,7 +54,7 @@ def _pair(total: int, left: np.ndarray) -> list[int] | None:
     if half < 1:
         return None
     short = np.flatnonzero((left[1 : half + 1] > 0) & (left[total - 1 : total - half - 1 : -1] > 0)) + 1
-    for a in short[::-1][:2].tolist():
+    for a in short[::-1][:2].tolist():  # only half of the sum can fail, so one of the two longest fits if any does
         if 2 * a != total or left[a] > 1:
             return [total - a, a]
     return None
@@ -64,14 +68,21 @@ def plan(counts: dict[int, int], capacity: int) -> Plan:
     used = np.zeros(capacity + 1, np.int64)
     slots: list[tuple[int, int, int, int]] = []
     container = 0
+    # pairs of available lengths by their sum, each order counted; kept up as lengths run out
     width = 1 << (2 * capacity + 1).bit_length()
-    have = None
-    while left.any():
-        now = left > 0
-        if have is None or (have != now).any():
-            have = now
-            spectrum = np.fft.rfft(have.astype(np.float64), width)
-            pairs = np.fft.irfft(spectrum * spectrum, width)[: capacity + 1] > 0.5
+    spectrum = np.fft.rfft((left > 0).astype(np.float64), width)
+    pairs = np.rint(np.fft.irfft(spectrum * spectrum, width)[: capacity + 1]).astype(np.int64)
+    live = left > 0
+    while live.any():
+        gone = np.flatnonzero(live & (left <= 0))
+        for size in gone.tolist():
+            others = np.flatnonzero(live[: capacity - size + 1])
+            pairs[size + others] -= 2
+            if 2 * size <= capacity:
+                pairs[2 * size] += 1  # with itself it was counted once
+            live[size] = False
+        if not live.any():
+            break
         inside: dict[int, int] = {}
         gap = capacity
         while gap > 0:
@@ -126,9 +137,25 @@ def pack(sizes: DataFrame, key: str, tokens: str, packs: list[tuple[str, str, in
     offset = count.select("pack_name", "_rest", "_part", before.alias("_before"))
     rank = F.row_number().over(Window.partitionBy("pack_name", "_rest", "_part").orderBy("_key")) - 1
     ranked = rest.withColumn("_rank", rank).join(offset, ["pack_name", "_rest", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    # at most ``capacity`` lengths per pack
-    lengths = count.groupBy("pack_name", "_rest").agg(F.sum("_n").alias("n")).collect()
-    plans = {name: plan({r._rest: r.n for r in lengths if r.pack_name == name and r._rest > 0}, capacity) for name, _, capacity in packs}
+    # at most ``capacity`` lengths per pack, planned by one task a pack; the driver receives no more plans than lengths
+    sizes_of = {name: capacity for name, _, capacity in packs}
+
+    def planned(table):  # noqa: ANN001, ANN202 - the histogram of one pack
+        import pyarrow as pa
+
+        name = table.column("pack_name")[0].as_py()
+        counts = dict(zip(table.column("_rest").to_pylist(), table.column("n").to_pylist(), strict=True))
+        p = plan({size: n for size, n in counts.items() if size > 0}, sizes_of[name])
+        # a last row holds the number of containers
+        columns = [np.append(c, x) for c, x in zip((p.length, p.start, p.first, p.times), (0, 0, p.containers, 0), strict=True)]
+        return pa.table([pa.array([name] * len(columns[0])), *[pa.array(c, pa.int64()) for c in columns]], names=["pack_name", "length", "start", "first", "times"])
+
+    lengths = count.groupBy("pack_name", "_rest").agg(F.sum("_n").alias("n"))
+    rows = lengths.groupBy("pack_name").applyInArrow(planned, "pack_name string, length bigint, start bigint, first bigint, times bigint").collect()
+    plans = {}
+    for name in sizes_of:
+        table = np.array(sorted((r.length, r.start, r.first, r.times) for r in rows if r.pack_name == name and r.length > 0), np.int64).reshape(-1, 4)
+        plans[name] = Plan(table[:, 0], table[:, 1], table[:, 2], table[:, 3], max((r["first"] for r in rows if r.pack_name == name and r.length == 0), default=0))
     shared = spark.sparkContext.broadcast(plans)
 
     def assign(batches):  # noqa: ANN001, ANN202

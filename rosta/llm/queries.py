@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosta.llm import quality
 from rosta.llm.abuse import LEAST, rates, scored
-from rosta.llm.lookalikes import lookalike_pairs
+from rosta.llm.lookalikes import lookalike_classes, lookalike_pairs
 from rosta.llm.mail import mail_lines, reduced
 from rosta.llm.packing import fill, pack
 from rosta.llm.personal import personal, redacted
@@ -45,6 +45,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in classes of those that look the same, with their number of links."""
+    return lookalike_classes(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def _mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments of the sites whose bodies are emails."""
     origins = table(spark, sf_dir, "sites").filter("kind = 'mail'").select("origin")
@@ -129,7 +134,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return far.join(p5_found(spark, sf_dir), ["src", "row_id"], "left_anti")
 
 
-QUERIES = {"p7_found": p7_found, "p7_statistics": p7_statistics, "p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found}
+QUERIES = {"p7_found": p7_found, "p7_statistics": p7_statistics, "p1_found": p1_found, "p1_redacted": p1_redacted, "p4_found": p4_found, "p4_scores": p4_scores, "p4_rates": p4_rates, "p5_found": p5_found, "p5_content": p5_content, "p6_found": p6_found, "p6_new_text": p6_new_text, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_classes": p10_classes}
 ORACLES: dict[str, str] = {}
 
 

@@ -3,7 +3,7 @@
 import random
 import unicodedata
 
-from rosta.llm.lookalikes import INVISIBLE, LOOKALIKES, canonical, lookalike_pairs, unify
+from rosta.llm.lookalikes import INVISIBLE, LOOKALIKES, canonical, canonical_by_joins, lookalike_classes, lookalike_pairs, unify
 
 PLAIN = {c: latin for latin, others in LOOKALIKES.items() for c in others}
 
@@ -54,3 +54,27 @@ def test_edges(spark):
 
 def test_quads_are_spaces():
     assert unify(["a\u2000b", "a\u2001b", "a\u2002b", "a\u2003b", "a b"]) == ["a b"] * 5
+
+
+def test_joins_give_the_same_form(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").filter("text is null or not text rlike '\\u200d'")
+    by_joins, by_arrays = ({r.doc_id: r.canonical for r in f(docs, "doc_id", "text").collect()} for f in (canonical_by_joins, canonical))
+    bad = [(k, v, by_joins.get(k)) for k, v in by_arrays.items() if by_joins.get(k) != v]
+    assert not bad, ascii(bad[0])
+
+
+def test_classes_and_pairs_agree(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    pairs = [(r.doc_a, r.doc_b) for r in lookalike_pairs(docs, "doc_id", "text").collect()]
+    rows = lookalike_classes(docs, "doc_id", "text").collect()
+    links = {}
+    for a, b in pairs:
+        links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
+    assert {r.doc_id: r.links for r in rows} == links
+    of = {r.doc_id: (r.class_id, r.variant_no) for r in rows}
+    assert all(of[a][0] == of[b][0] and of[a][1] != of[b][1] for a, b in pairs)
+    assert lookalike_classes(docs.limit(0), "doc_id", "text").count() == 0
+
+
+def test_more_look_alikes():
+    assert unify(["ꓮꓐꓚ", "Αα", "ꓝꓖꓣ"]) == ["ABC", "Aa", "FGR"]

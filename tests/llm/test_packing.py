@@ -34,6 +34,38 @@ def test_plans_are_valid_and_tight():
         assert got <= least * 1.005 + 1
 
 
+def test_a_triple_is_found_behind_any_number_of_false_ones():
+    """Third lengths whose only pair is one item twice come first; the true one is the last."""
+    from rosta.llm.packing import _exact
+
+    gap = 1000
+    left = np.zeros(gap + 1, np.int64)
+    for third in range(700, 940, 2):  # each leaves a sum that only half of it, there once, could make
+        left[third] = 1
+        left[(gap - third) // 2] = 1
+    left[[3, 11, gap - 14]] = 1
+    left[gap - 14] = 0
+    left[[401, 300, 299]] = [1, 1, 1]
+    pairs = np.zeros(gap + 1, np.int64)
+    have = np.flatnonzero(left)
+    for a in have:
+        for b in have:
+            if a + b <= gap:
+                pairs[a + b] += 1
+    found = _exact(gap, left.copy(), pairs)
+    assert found is not None and sum(found) == gap and all(left[x] >= found.count(x) for x in found)
+
+
+def test_large_capacities_are_planned_in_time():
+    import time
+
+    rng = random.Random(8)
+    counts = Counter(min(32768, max(1, int(rng.lognormvariate(math.log(900), 1.3)))) for _ in range(60_000))
+    began = time.time()
+    got, least = loads(dict(counts), 32768)
+    assert got <= least * 1.001 + 1 and time.time() - began < 20
+
+
 def test_pack_edges(spark):
     rows = [(i % 40, "t", n) for i, n in enumerate([0, None, 1, 9, 10, 11, 25, 30, 3, 7] * 20)]
     df = spark.createDataFrame(rows, "id int, tokenizer string, tokens int").withColumn("container", F.lit("clash"))
