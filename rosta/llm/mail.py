@@ -37,6 +37,8 @@ ACROSS = [
     [-5.0, -0.5, 0.0, 0.0, -1.0, 0.5],
 ]
 FIRST = [0.5, -0.5, -0.5, -3.0, -2.5, -2.5]
+#: What new text is preferred by to forwarded text: a forwarded message begins at its mark and not before it, however long it is.
+FIRST_MARK = 1e-7
 
 # Words of closing formulas, of the lines that introduce earlier messages, of their headers, of devices'
 # signatures and of notices, in Hungarian, English, German and Russian.
@@ -76,7 +78,7 @@ def _scores(lines: list[str], i: int, near: list[int], place: int) -> list[float
     if not _ANY.search(line):
         return None
     sentence = len(line) > 45 or _SENTENCE.search(line) is not None
-    s = [0.5, -6.0, -4.0, 0.5, -2.5 if sentence else -0.5, -3.0]
+    s = [0.5, -6.0, -4.0, 0.5 - FIRST_MARK, -2.5 if sentence else -0.5, -3.0]
     after = lines[near[place + 1]] if place + 1 < len(near) else ""
     joined_after = place + 1 < len(near) and near[place + 1] == i + 1
     before = lines[near[place - 1]] if place else ""
@@ -127,7 +129,7 @@ def label_lines(text: str) -> list[tuple[int, int]]:
     scores = [_scores(lines, i, near, k) for k, i in enumerate(near)]
     if not any(scores):
         return [(i + 1, NEW) for i in near]
-    plain = (1.0, -6.0, -4.0, 1.0, -3.0, -3.0)
+    plain = (1.0, -6.0, -4.0, 1.0 - FIRST_MARK, -3.0, -3.0)
     n = len(LABELS)
     total = [a + b for a, b in zip(FIRST, scores[0] or plain, strict=True)]
     back: list[list[int]] = []

@@ -85,6 +85,9 @@ _TITLE_WORD = re.compile(r"(?<![\w.-])[A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][a-záéí
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _CASE = r"(?:nak|nek|val|vel|t|ot|et|at|öt|ért|hoz|hez|höz|tól|től|ról|ről|ban|ben|ba|be|on|en|ön|ra|re|é|ék|ig|ként|nál|nél|i|[bcdfghjklmnprstvz]{1,2}[ae]l)?"
 
+_CASED = re.compile(_CASE)
+_ANY_DIGIT = re.compile(r"\d")
+
 #: (kind, head, start, end, where its context ends before it) of a mention: a label is no context of its number.
 Mention = tuple[str, str, int, int, int]
 
@@ -225,16 +228,12 @@ def _addresses(low: str) -> list[Mention]:
 
 def mentions(text: str) -> list[Mention]:
     """Everything in a text that has the outer form of an identifier, but names; places are those of the text as it is."""
-    if _ENTITY in text:  # a written no-break space is one space
-        parts = text.split(_ENTITY)
-        place, at = [], 0
-        for part in parts:
-            place += range(at, at + len(part) + 1)
-            at += len(part) + len(_ENTITY)
-        return [(kind, head, place[a], place[b - 1] + 1, place[c]) for kind, head, a, b, c in mentions(" ".join(parts))]
+    text, place = _written_spaces(text)
+    if place is not None:
+        return [(kind, head, place[a], place[b - 1] + 1, place[c]) for kind, head, a, b, c in mentions(text)]
     low = lower(text)
     out = _emails(low) if "@" in low or "kukac" in low or any(c in low for c in "([{<*#¤&~§") or " at " in low else []
-    if any(c.isdigit() for c in low):
+    if _ANY_DIGIT.search(low):
         out += _phones(low) + _ids(low) + _addresses(low)
     elif "nulla" in low:
         out += _phones(low)
@@ -280,56 +279,84 @@ def _name_machines(last: frozenset[str], first: frozenset[str]):  # noqa: ANN202
     return machines
 
 
+def _written_spaces(text: str) -> tuple[str, list[int] | None]:
+    """``text`` with written no-break spaces as one space, and the place of each of its characters before that; None where nothing changes."""
+    if _ENTITY not in text:
+        return text, None
+    parts = text.split(_ENTITY)
+    place, at = [], 0
+    for part in parts:
+        place += range(at, at + len(part) + 1)
+        at += len(part) + len(_ENTITY)
+    return " ".join(parts), place
+
+
+def _family_before(text: str, low: str, at: int) -> tuple[int, str] | None:
+    """(start, family name) of what stands before a given name at ``at``, if it can be its family name."""
+    if at < 3 or not low[at - 1].isspace():
+        return None
+    spans = words_before(low, at, 1)
+    if not spans:
+        return None
+    start, stop = spans[0]
+    family = low[start:stop].lstrip(".'-_")
+    start = stop - len(family)
+    gap = low[stop:at]
+    if gap.count("\n") > 1 or len(family) < 3 or not family.replace("-", "").isalpha() or family.endswith("-"):
+        return None
+    if family in NOT_FAMILY or family.split("-")[0] in NOT_FAMILY:
+        return None
+    telling = family.endswith("i") or family in FAMILY or family[-1] == "y"
+    if "\n" in gap and not family.endswith("i"):
+        return None
+    big = (text[start].isupper(), text[at].isupper())
+    if big[0] != big[1] or (not big[0] and not telling):
+        return None
+    if not telling and (start == 0 or low[:start].rstrip()[-1:] in ".!?"):
+        return None
+    return start, family
+
+
+def _family_behind(text: str, low: str, at: int, end: int) -> int | None:
+    """End of the family name behind a given name from ``at`` to ``end``, if one stands there."""
+    if (at and (low[at - 1].isalnum() or low[at - 1] in "_-")) or not text[at].isupper():
+        return None
+    m = _TITLE_AFTER.match(text, end)
+    if m and m[1].lower() not in NOT_FAMILY and (m[1].isupper() == text[at:end].isupper() or len(m[1]) < 2):
+        return m.end(1)
+    return None
+
+
 def names_in(text: str, last: frozenset[str], first: frozenset[str]) -> list[tuple[int, int]]:
     """Spans of a family and a given name of the given ones, in any case; ``last``: behind the family name, ``first``: before it."""
-    if _ENTITY in text:
-        parts = text.split(_ENTITY)
-        place, at = [], 0
-        for part in parts:
-            place += range(at, at + len(part) + 1)
-            at += len(part) + len(_ENTITY)
-        return [(place[a], place[b - 1] + 1) for a, b in names_in(" ".join(parts), last, first)]
+    text, place = _written_spaces(text)
     low = lower(text)
     behind, before = _name_machines(last, first)
     out = []
     for end, (name, forms) in behind.iter(low) if len(behind) else ():
         at = end - len(name) + (name[-1] in "ae") + 1
-        if at < 3 or not low[at - 1].isspace():
-            continue
-        m = forms.match(low, at)
-        if not m:
-            continue
-        spans = words_before(low, at, 1)
-        if not spans:
-            continue
-        start, stop = spans[0]
-        family = low[start:stop].lstrip(".'-_")
-        start = stop - len(family)
-        gap = low[stop:at]
-        if gap.count("\n") > 1 or len(family) < 3 or not family.replace("-", "").isalpha() or family.endswith("-"):
-            continue
-        if family in NOT_FAMILY or family in last or family.split("-")[0] in NOT_FAMILY:
-            continue
-        shown = text[start:at]
-        telling = family.endswith("i") or family in FAMILY or family[-1] == "y"
-        if "\n" in gap and not family.endswith("i"):
-            continue
-        if not (shown[0].isupper() and text[at].isupper()) and not telling:
-            continue
-        if shown[0].isupper() != text[at].isupper():
-            continue
-        if not telling and (start == 0 or low[:start].rstrip()[-1:] in ".!?"):
-            continue
-        out.append((start, m.end()))
+        m = forms.match(low, at) if at >= 3 and low[at - 1].isspace() else None
+        found = _family_before(text, low, at) if m else None
+        if found and found[1] not in last:
+            out.append((found[0], m.end()))
     for end, (name, forms) in before.iter(low) if len(before) else ():
         at = end - len(name) + (name[-1] in "ae") + 1
         m = forms.match(low, at)
-        if not m or (at and (low[at - 1].isalnum() or low[at - 1] in "_-")) or not text[at].isupper():
-            continue
-        following = _TITLE_AFTER.match(text, m.end())
-        if following and following[1].lower() not in NOT_FAMILY and (following[1].isupper() == text[at : m.end()].isupper() or len(following[1]) < 2):
-            out.append((at, following.end(1)))
-    return out
+        stop = _family_behind(text, low, at, m.end()) if m else None
+        if stop:
+            out.append((at, stop))
+    return out if place is None else [(place[a], place[b - 1] + 1) for a, b in out]
+
+
+def _given_of(word: str) -> set[str]:
+    """The given names that a word can be a cased form of."""
+    out: set[str] = set()
+    for cut in range(2, len(word) + 1):
+        if _CASED.fullmatch(word, cut):
+            out.add(word[:cut])
+            if word[cut - 1] in "áé":
+                out.add(word[: cut - 1] + _PLAIN[word[cut - 1]])
+    return {w for w in out if w == word or w[-1] not in "ae" or _CASED.fullmatch(word, len(w))}
 
 
 _TITLE_AFTER = re.compile(r"[ \t\u00a0]+(?:[A-ZА-ЯЁ]\.[ \t]*|von |van )?([A-ZÁÉÍÓÖŐÚÜŰÄА-ЯЁ][\w'-]*[^\W\d_])")
@@ -462,30 +489,40 @@ def _named(df: DataFrame, keys: list[str], text: str, heads: dict[str, frozenset
         for given in batches:
             at, rows = [], []
             for i, t in enumerate(given.column("_text").to_pylist()):
-                for kind, head, a, b in pair_heads(t):
+                for row in pair_heads(t):
                     at.append(i)
-                    rows.append((kind, head, a, b))
-            columns = [*zip(*rows, strict=True)] or [()] * 4
-            arrays = [pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.string(), pa.int32(), pa.int32()], strict=True)]
-            yield pa.RecordBatch.from_arrays([*[given.column(n).take(pa.array(at, pa.int64())) for n in names], *arrays], names=[*names, "kind", "head", "start", "stop"])
+                    rows.append(row)
+            columns = [*zip(*rows, strict=True)] or [()] * 5
+            arrays = [pa.array(c, k) for c, k in zip(columns, [pa.string()] * 3 + [pa.int32()] * 2, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[given.column(n).take(pa.array(at, pa.int64())) for n in names], *arrays], names=[*names, "kind", "head", "family", "start", "stop"])
 
     if heads is not None:
         return base.mapInArrow(with_heads, schema + ", kind string, start int, stop int")
-    each = base.mapInArrow(with_words, schema + ", kind string, head string, start int, stop int").join(table, ["kind", "head"], "left_semi")
-    return each.select(*names, F.lit("name").alias("kind"), "start", "stop")
+    # also written without accents
+    written_heads = table.unionByName(table.filter("kind in ('last', 'first')").withColumn("head", F.translate("head", "".join(_PLAIN), "".join(_PLAIN.values())))).distinct()
+    given_names = table.filter("kind = 'last'").select(F.col("head").alias("family"))
+    each = base.mapInArrow(with_words, schema + ", kind string, head string, family string, start int, stop int").join(written_heads, ["kind", "head"], "left_semi")
+    return each.join(given_names, "family", "left_anti").select(*names, F.lit("name").alias("kind"), "start", "stop").distinct()
 
 
-def pair_heads(text: str) -> Iterable[tuple[str, str, int, int]]:
-    """(kind, head, start, end) for every pair of words that would be a name if the head were accepted."""
+def pair_heads(text: str) -> Iterable[tuple[str, str, str, int, int]]:
+    """(kind, head, family, start, end) for every pair of words that would be a name if the head were accepted and the family were no given name."""
+    text, place = _written_spaces(text)
     low = lower(text)
-    words = {w for pair in _PAIR.finditer(low) for w in (pair[1], pair[2])} | {m[0] for m in re.finditer(rf"{_WORD}{{2,}}", low)}
-    for word in words:
-        for cut in range(len(word), 1, -1):
-            for name in {word[:cut], word[: cut - 1] + {"á": "a", "é": "e"}.get(word[cut - 1], word[cut - 1])}:
-                for kind in ("last", "first"):
-                    one = frozenset([name])
-                    for a, b in names_in(text, one if kind == "last" else frozenset(), one if kind == "first" else frozenset()):
-                        yield kind, name, a, b
+    for m in re.finditer(rf"{_WORD}{{2,}}(?!\w)", low):
+        at, end = m.span()
+        if at and (low[at - 1].isalpha()):
+            continue
+        spans = []
+        found = _family_before(text, low, at)
+        if found:
+            spans.append(("last", found[1], found[0], end))
+        stop = _family_behind(text, low, at, end)
+        if stop:
+            spans.append(("first", "", at, stop))
+        for kind, family, a, b in spans:
+            for name in _given_of(m.group()):
+                yield kind, name, family, a if place is None else place[a], b if place is None else place[b - 1] + 1
 
 
 def _spans(given, names: list[str], spans: list[list[tuple[str, int, int]]]):  # noqa: ANN001, ANN202

@@ -34,7 +34,11 @@ POINTS = ".!?…)\"”:"
 SEPARATORS = ",;|:\t/+=»<>"
 _WORD = re.compile(r"\w+")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_\d][ .]){3,}[^\W_\d](?![^\W_])")
-_MAYBE = re.compile(r"\d{3}|@|kukac|\bat\b|nulla hat|\b(?:u\.|utca|út|tér|köz|sor|sétány|dűlő|street|road|stra(?:ß|ss)e|str\.) \d", re.I)
+_MAYBE = re.compile(
+    r"\d{3}|@|[kK][uU][kK][aA][cC]|\b[aA][tT]\b|[nN][uU][lL][lL][aA] [hH]"
+    # a house number: looked at from its first digit, which is quick to find
+    r"|(?=\d)(?:(?<=[uU]\. )|(?<=[uU][tT][cC][aA] )|(?<=[úÚ][tT] )|(?<=[tT][éÉ][rR] )|(?<=[kK][öÖ][zZ] )|(?<=[sS][oO][rR] )|(?<=[tT][áÁ][nN][yY] )|(?<=[űŰ][lL][őŐ] )|(?<=[eE][eE][tT] )|(?<=[oO][aA][dD] )|(?<=[ßsS][eE] )|(?<=[tT][rR]\. ))"
+)
 # Kinds of public places of the languages.
 PLACES = frozenset("utca utcája út útja u tér tere köz köze sor sora sétány sétánya dűlő krt körút fasor rakpart liget street road avenue lane straße strasse gasse platz weg allee ул".split())
 #: Words before a word among which it is a repetition.
@@ -113,7 +117,7 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
     size = np.array([len(t) + 1 for t in texts])
     starts = np.concatenate([[0], np.cumsum(size)[:-1]])
     kind = _classes()[codes]
-    add = lambda mask: np.add.reduceat(mask.astype(np.int64), starts)
+    add = lambda mask: np.add.reduceat(mask.view(np.uint8), starts, dtype=np.int64)
     letter, digit = (kind == LETTER) | (kind == VOWEL), kind == DIGIT
     letters, digits, vowels = add(letter), add(digit), add(kind == VOWEL)
     symbols, separators = add(kind == SYMBOL), add(kind == SEPARATOR)

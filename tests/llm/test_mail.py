@@ -94,3 +94,11 @@ def test_edges(spark):
     assert not {1, 2, 3} & {r.k for r in rows}
     assert mail_lines(df.limit(0), "k", "t").count() == 0
     assert reduced(df, "k", "t").count() == len(cases)
+
+
+def test_a_forwarded_message_begins_at_its_mark():
+    own = [f"Ez a {i}. sor, ezt én írtam most." for i in range(3)]
+    far = [f"Ez a {i}. sora annak, amit régen írtak." for i in range(2000)]
+    text = "\n".join(["Hello,", "", *own, "", "---------- Továbbított üzenet ----------", "Feladó: Kis Réka <kis@posta.test>", "Dátum: 2024. 10. 16. 15:20", "Tárgy: eke", "", *far])
+    labels = dict(label_lines(text))
+    assert [n for n, label in labels.items() if label == 0] == [1, 3, 4, 5]
