@@ -32,7 +32,7 @@ ACROSS = [
     [0.5, 0.0, -0.5, -2.0, -1.0, -1.5],
     [0.5, 0.5, -0.5, -2.0, -1.0, -1.5],
     [-3.0, 1.0, -1.0, -6.0, -6.0, -6.0],
-    [_NO, 0.0, -2.0, 1.0, _NO, 0.0],
+    [_NO, 0.0, -2.0, 0.5, _NO, 0.0],
     [-5.0, -0.5, 0.0, 0.0, 0.5, 0.0],
     [-5.0, -0.5, 0.0, 0.0, -1.0, 0.5],
 ]
