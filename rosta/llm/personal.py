@@ -226,16 +226,22 @@ def _addresses(low: str) -> list[Mention]:
     return out
 
 
-def mentions(text: str) -> list[Mention]:
-    """Everything in a text that has the outer form of an identifier, but names; places are those of the text as it is."""
+def mentions(text: str, numbers: bool = True, houses: bool = True) -> list[Mention]:
+    """Everything in a text that has the outer form of an identifier, but names; places are those of the text as it is.
+
+    numbers, houses: whether telephone and identity numbers, and addresses, are looked for.
+    """
     text, place = _written_spaces(text)
     if place is not None:
-        return [(kind, head, place[a], place[b - 1] + 1, place[c]) for kind, head, a, b, c in mentions(text)]
+        return [(kind, head, place[a], place[b - 1] + 1, place[c]) for kind, head, a, b, c in mentions(text, numbers, houses)]
     low = lower(text)
     out = _emails(low) if "@" in low or "kukac" in low or any(c in low for c in "([{<*#¤&~§") or " at " in low else []
     if _ANY_DIGIT.search(low):
-        out += _phones(low) + _ids(low) + _addresses(low)
-    elif "nulla" in low:
+        if numbers:
+            out += _phones(low) + _ids(low)
+        if houses:
+            out += _addresses(low)
+    elif "nulla" in low and numbers:
         out += _phones(low)
     return out
 

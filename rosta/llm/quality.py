@@ -34,11 +34,12 @@ POINTS = ".!?…)\"”:"
 SEPARATORS = ",;|:\t/+=»<>"
 _WORD = re.compile(r"\w+")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_\d][ .]){3,}[^\W_\d](?![^\W_])")
-_MAYBE = re.compile(
-    r"\d{3}|@|[kK][uU][kK][aA][cC]|\b[aA][tT]\b|[nN][uU][lL][lL][aA] [hH]"
-    # a house number: looked at from its first digit, which is quick to find
-    r"|(?=\d)(?:(?<=[uU]\. )|(?<=[uU][tT][cC][aA] )|(?<=[úÚ][tT] )|(?<=[tT][éÉ][rR] )|(?<=[kK][öÖ][zZ] )|(?<=[sS][oO][rR] )|(?<=[tT][áÁ][nN][yY] )|(?<=[űŰ][lL][őŐ] )|(?<=[eE][eE][tT] )|(?<=[oO][aA][dD] )|(?<=[ßsS][eE] )|(?<=[tT][rR]\. ))"
+_THREE = re.compile(r"\d{3}|[nN][uU][lL][lL][aA] [hH]")
+# a house number behind a kind of public place: looked at from its first digit, which is quick to find
+_HOUSE = re.compile(
+    r"(?=\d)(?:(?<=[uU]\. )|(?<=[uU][tT][cC][aA] )|(?<=[úÚ][tT] )|(?<=[tT][éÉ][rR] )|(?<=[kK][öÖ][zZ] )|(?<=[sS][oO][rR] )|(?<=[tT][áÁ][nN][yY] )|(?<=[űŰ][lL][őŐ] )|(?<=[eE][eE][tT] )|(?<=[oO][aA][dD] )|(?<=[ßsS][eE] )|(?<=[tT][rR]\. ))"
 )
+_SIGN = re.compile(r"@|[kK][uU][kK][aA][cC]|\b[aA][tT]\b")
 # Kinds of public places of the languages.
 PLACES = frozenset("utca utcája út útja u tér tere köz köze sor sora sétány sétánya dűlő krt körút fasor rakpart liget street road avenue lane straße strasse gasse platz weg allee ул".split())
 #: Words before a word among which it is a repetition.
@@ -69,8 +70,12 @@ def _classes() -> np.ndarray:
 
 def contacts(text: str) -> list[tuple[int, int]]:
     """Places of e-mail addresses, telephone and identity numbers and street addresses, apart from each other, in order."""
+    numbers, houses = _THREE.search(text) is not None, _HOUSE.search(text) is not None
+    if not numbers and not houses and not _SIGN.search(text):
+        return []
     out: list[tuple[int, int]] = []
-    for a, b in sorted((a, b) for kind, head, a, b, _ in mentions(text) if kind in ("email", "phone", "address", "id_number") and not head.startswith("groups") and (kind != "address" or head in PLACES)):
+    found = mentions(text, numbers, houses)
+    for a, b in sorted((a, b) for kind, head, a, b, _ in found if not head.startswith("groups") and (kind != "address" or head in PLACES)):
         if not out or a >= out[-1][1]:
             out.append((a, b))
     return out
@@ -85,9 +90,7 @@ def core(text: str) -> str:
 
     A word spaced out letter by letter is one word. Texts and lines of all lengths are treated alike.
     """
-    text = _SPACED.sub(lambda m: m.group().replace(" ", "").replace(".", ""), text.replace("&nbsp;", " "))
-    if not _MAYBE.search(text):
-        return text
+    text = _SPACED.sub(lambda m: m.group().replace(" ", "").replace(".", ""), text.replace("&nbsp;", " ").replace("\u00a0", " "))
     if "\n" not in text.strip():
         for a, b in reversed(contacts(text)):
             text = text[:a] + text[b:]
@@ -100,6 +103,8 @@ def core(text: str) -> str:
 
     lines = [line for line in text.split("\n") if line.strip()]
     a, b = 0, len(lines)
+    if not (_THREE.search(text) or _HOUSE.search(text) or _SIGN.search(text)):
+        return text
     while a < b - 1 and contact(lines[a]):
         a += 1
     while b > a + 1 and contact(lines[b - 1]):
