@@ -209,13 +209,15 @@ def statistics(texts: list[str], common: dict[str, int], languages: int) -> tupl
     return values, np.stack([size - 1, words, lines], axis=1), language
 
 
-def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20) -> DataFrame:
+def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20, whole_too: bool = True) -> DataFrame:
     """(keys, language, contact, chars, words, lines, one column per statistic, the same of the whole text) of every text of at least ``least`` characters.
 
     contact: whether a text is all contact data.
     chars, words, lines and the statistics leave out lines of contact data around a text, unless it is all contact data; text_chars,
     text_words, text_lines and text_statistics (an array in the order of ``STATISTICS``) are those of the whole text.
 
+    Without ``whole_too`` of these only text_chars is there.
+
     common: (language, word) rows, a fixed list of frequent words. A text without any of them has the language ``default``.
     Null, empty, blank and shorter texts give no rows. With ``least`` None every text gives a row: one without visible characters
     has no language, counts of 0 but text_chars, and statistics of 0; a null text has null for text_chars, text_words, text_lines and text_statistics.
@@ -231,6 +233,8 @@ def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str,
         base = base.filter(F.length("_text") >= least)
     types = dict(base.dtypes)
 
+    of_whole = (*WHOLE, "text_statistics") if whole_too else WHOLE[:1]
+
     def count(texts: list[str]):  # noqa: ANN202
         return statistics(texts, table, len(languages)) if texts else (np.empty((0, len(STATISTICS))), np.empty((0, 3), np.int64), np.empty(0, np.int64))
 
@@ -247,11 +251,12 @@ def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str,
             wholes = [t.replace("&nbsp;", " ") if t else "" for t in texts]
             cores = [w if k else c for w, c, k in zip(wholes, cores, contact, strict=True)]
             seen = np.array([i for i, c in enumerate(cores) if c.strip()], np.int64)
-            cut = [i for i in seen.tolist() if wholes[i] != cores[i]]  # the whole of all others is their core
+            cut = [i for i in seen.tolist() if wholes[i] != cores[i]] if whole_too else []  # the whole of all others is their core
             values, counts, language = np.zeros((len(texts), len(STATISTICS))), np.zeros((len(texts), 3), np.int64), np.full(len(texts), -2)
             values[seen], counts[seen], language[seen] = count([cores[i] for i in seen.tolist()])
             whole, sizes = values.copy(), counts.copy()
-            whole[cut], sizes[cut], _ = count([wholes[i] for i in cut])
+            if cut:
+                whole[cut], sizes[cut], _ = count([wholes[i] for i in cut])
             sizes[:, 0] = [len(t or "") for t in texts]
             null = np.array([t is None for t in texts], bool)
             arrays = [given.column(n) for n in names]
@@ -259,11 +264,12 @@ def measured(df: DataFrame, keys: list[str], text: str, common: list[tuple[str,
             arrays.append(pa.array(contact, pa.bool_()))
             arrays += [pa.array(counts[:, k], pa.int64()) for k in range(3)]
             arrays += [pa.array(values[:, k], pa.float64()) for k in range(len(STATISTICS))]
-            arrays += [pa.array(sizes[:, k], pa.int64(), mask=null) for k in range(3)]
-            arrays.append(_lists(whole, null))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "language", "contact", *COUNTS, *STATISTICS, *WHOLE, "text_statistics"])
+            arrays += [pa.array(sizes[:, k], pa.int64(), mask=null) for k in range(3 if whole_too else 1)]
+            if whole_too:
+                arrays.append(_lists(whole, null))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "language", "contact", *COUNTS, *STATISTICS, *of_whole])
 
-    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", language string, contact boolean, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(f"{s} double" for s in STATISTICS) + ", " + ", ".join(f"{c} bigint" for c in WHOLE) + ", text_statistics array<double>"
+    schema = ", ".join(f"{n} {types[n]}" for n in names) + ", language string, contact boolean, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(f"{s} double" for s in STATISTICS) + ", " + ", ".join(f"{c} array<double>" if c == "text_statistics" else f"{c} bigint" for c in of_whole)
     return base.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keys, strict=True)))
 
 
@@ -397,10 +403,10 @@ def outlierness(stats: DataFrame, model: Model) -> DataFrame:
     return grouped.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", distance double, contributions array<double>")
 
 
-def scored(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20, within: str | None = None) -> DataFrame:
+def scored(df: DataFrame, keys: list[str], text: str, common: list[tuple[str, str]], default: str = "hu", least: int | None = 20, within: str | None = None, whole_too: bool = True) -> DataFrame:
     """Statistics, outlierness and contributions of every text of at least ``least`` characters (None: of every text), under one prose model.
 
-    within: condition on the rows over which the model is estimated; all rows if None.
+    within: condition on the rows over which the model is estimated; all rows if None. whole_too: as in ``measured``.
     """
-    stats = written(measured(df, keys, text, common, default, least), "quality")
+    stats = written(measured(df, keys, text, common, default, least, whole_too), "quality")
     return outlierness(stats, prose_model(stats.filter(within) if within else stats))

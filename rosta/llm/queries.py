@@ -120,17 +120,22 @@ def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 JUDGED = "not mail and text_chars >= 20 and language is not null and not contact"
 
 
-def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics and outlierness of every text, emails (mail), null and empty ones among them."""
+def _statistics(spark: SparkSession, sf_dir: str, whole_too: bool) -> DataFrame:
+    """Statistics and outlierness of every text, those of the whole text beside them on demand."""
     common = [(r.lang, r.word) for r in table(spark, sf_dir, "common_words").collect()]  # a fixed list
     mails = table(spark, sf_dir, "sites").filter("kind = 'mail'").select("origin", F.lit(True).alias("mail")).distinct()
     texts = _texts(spark, sf_dir).join(mails, "origin", "left").withColumn("mail", F.coalesce("mail", F.lit(False)))
-    return quality.scored(texts, ["src", "row_id", "mail"], "text", common, least=None, within=JUDGED)
+    return quality.scored(texts, ["src", "row_id", "mail"], "text", common, least=None, within=JUDGED, whole_too=whole_too)
+
+
+def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and outlierness of every text, emails (mail), null and empty ones among them."""
+    return _statistics(spark, sf_dir, True)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that are as a whole lists, tables or junk, those of p5_found left out."""
-    far = p7_statistics(spark, sf_dir).filter(f"{JUDGED} and distance >= {quality.LEAST}").select("src", "row_id")
+    far = _statistics(spark, sf_dir, False).filter(f"{JUDGED} and distance >= {quality.LEAST}").select("src", "row_id")
     return far.join(p5_found(spark, sf_dir), ["src", "row_id"], "left_anti")
 
 
