@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosta.functions.text import clean_text
+from rosta.session import written
 
 
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -71,7 +72,11 @@ def with_next(pages: DataFrame, topic: str, number: str, name: str) -> DataFrame
 
 
 def until_repeat(pages: DataFrame, topic: str, number: str) -> DataFrame:
-    """Pages of each topic before the first whose fingerprint occurred before, with ``same_as_previous`` for the comparison alone."""
+    """Pages of each topic before the first whose fingerprint occurred before, with ``same_as_previous`` for the comparison alone.
+
+    The pages are written once, as several steps read them.
+    """
+    pages = written(pages, "pages")
     marked = with_previous(pages, topic, number, "fingerprint", "_before").withColumn("same_as_previous", F.coalesce(F.col("_before") == F.col("fingerprint"), F.lit(False))).drop("_before")
     # the second page of a fingerprint is its first repetition
     again = pages.groupBy(topic, "fingerprint").agg(F.min(number).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
