@@ -3,8 +3,9 @@
 Every value is expanded, inside the JVM, into an array of all its valid interpretations (shape, instant, cost): both orders of day and
 month, both sides of a clock change. A Viterbi pass over each source's record order then chooses one interpretation per record; it
 penalises a change of shape and a jump back in time. A stated rule (the day comes first, the first of two equal wall clock times) is a cost
-that no chain can make up for, so interpretations that it excludes are never chosen. Interpretations that cost so much more than another of
-the same value that the chain could not prefer them are dropped at once; only runs of records that are left with several are shuffled and chained.
+that no chain can make up for: what it excludes is chosen only for a value that has nothing else, and then fixes no instant. Stretches in which
+some record has several interpretations are shuffled and chained. On request, interpretations that cost so much more than another of the same
+value that the chain could not prefer them are dropped before it, which leaves fewer stretches to shuffle and the same choice.
 """
 
 from __future__ import annotations
@@ -84,6 +85,11 @@ def _lookup(key: Column, table: dict[str, int]) -> Column:
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key]
 
 
+def _admitted(reading: Column) -> Column:
+    """Whether no stated rule excludes the reading."""
+    return reading["cost"] < RULED_OUT
+
+
 def _days(year: Column, month: Column, day: Column) -> Column:
     """Days since 1970-01-01 of a date, null where there is no such date."""
     safe = F.make_date(year, F.when(month.between(1, 12), month).otherwise(F.lit(1)), F.lit(1))
@@ -105,15 +111,16 @@ def _second(ms: Column, local_ms: Column, zone: Column) -> Column:
     return F.coalesce(*later)
 
 
-def with_readings(df: DataFrame, date: Column, captured_ms: Column, zone: Column, day_first: bool | None = True, first_side: bool | None = True) -> DataFrame:
-    """``df`` with ``_readings``: the readings of ``date`` that a chain can choose, as array<struct<shape int, ms bigint, cost double>>, the cheapest first.
+def with_readings(df: DataFrame, date: Column, captured_ms: Column, zone: Column, day_first: bool | None = True, first_side: bool | None = True, pruned: bool = True) -> DataFrame:
+    """``df`` with ``_readings``: the readings of ``date`` as array<struct<shape int, ms bigint, cost double>>, those that no rule excludes first.
 
     date: the displayed text; null, empty, vague ages, impossible dates and dates without time of day give an empty array.
     captured_ms: capture time in milliseconds UTC, for relative and yearless dates; zone: the site's time zone name.
     A numeric date that ends with the year has two readings, with the day and with the month first, and a wall clock time that occurs
     twice has two instants. ``day_first`` and ``first_side`` (True or False) state which one holds, and the other costs ``RULED_OUT``; None
     leaves both open at no cost, the day and the first side preferred in ties. A date that begins with the year has a second reading with the day
-    before the month, which costs ``RULED_OUT``, too. Of a value's readings those stay that cost at most ``MOST_SAVED`` more than its cheapest.
+    before the month, which costs ``RULED_OUT``, too. With ``pruned`` only those of a value's readings stay that cost at most ``MOST_SAVED``
+    more than its cheapest and that no rule excludes: those that a chain can choose and that fix an instant.
     The steps are separate projections, so that each value is computed once.
     """
     plans = shapes()
@@ -180,9 +187,11 @@ def with_readings(df: DataFrame, date: Column, captured_ms: Column, zone: Column
         for which in ("ms", "late")
     ]
     df = df.withColumn("_all", F.filter(F.array(*readings), lambda r: r["ms"].isNotNull()))
+    if not pruned:
+        return df.withColumn("_readings", F.concat(F.filter("_all", _admitted), F.filter("_all", lambda r: ~_admitted(r))))
     cheapest = F.array_min(F.transform("_all", lambda r: r["cost"]))
     kept = F.filter("_all", lambda r: r["cost"] <= cheapest + MOST_SAVED)
-    return df.withColumn("_readings", F.filter(kept, lambda r: r["cost"] < RULED_OUT))
+    return df.withColumn("_readings", F.filter(kept, _admitted))
 
 
 def _milliseconds(df: DataFrame, name: str) -> Column:
@@ -233,7 +242,9 @@ def _choose(table):  # noqa: ANN001, ANN202 - pyarrow tables
         cuts = [slice(offsets[i], offsets[i + 1]) for i in run]
         for i, choice in zip(run, viterbi([shape[c] for c in cuts], [ms[c] for c in cuts], [cost[c] for c in cuts]), strict=True):
             picked[i] = offsets[i] + choice
-    value = pa.array(np.where(picked >= 0, ms[np.maximum(picked, 0)] if len(ms) else 0, 0), pa.int64(), mask=picked < 0)
+    chosen = np.maximum(picked, 0)
+    none = (picked < 0) | (cost[chosen] >= RULED_OUT) if len(ms) else picked < 0  # a value with excluded readings only fixes no instant
+    value = pa.array(np.where(none, 0, ms[chosen] if len(ms) else 0), pa.int64(), mask=none)
     keep = table.column("_own").to_numpy(zero_copy_only=False).astype(bool)
     return table.drop_columns(["_order", "_tie", "_readings", "_own"]).append_column("utc_ms", value).filter(pa.array(keep))
 
@@ -250,6 +261,7 @@ def resolve_instants(
     first_side: bool | None = True,
     stretch: int = 8192,
     overlap: int = 512,
+    pruned: bool = True,
 ) -> DataFrame:
     """``keys`` and ``utc_ms`` for every row of ``df``: the chosen instant in milliseconds UTC, or null.
 
@@ -257,7 +269,9 @@ def resolve_instants(
     ``stretch`` order values, each of which also sees the ``overlap`` values before and after it, so that no source, however
     large its share of all rows, meets in one task. Two records with one reading each separate the chain exactly; the cut can
     differ from the uncut chain only inside a run of open records longer than ``overlap``. Only stretches that hold an open record are
-    shuffled. Where both rules are stated no record is open, whatever its value, and no row moves.
+    shuffled. ``pruned`` drops before the chain what it could not choose; where both rules are stated, no record is open then, whatever its
+    value, and no row moves. Without it the chain chooses among all readings; where both rules are stated, it cannot differ from the uncut one,
+    as a reading that no rule excludes costs less than another of the same value, whatever its neighbours are.
 
     Nulls: a null, empty or unreadable date gives null; a null zone gives null for wall clock times; a null capture time gives
     null for relative and yearless dates; rows with a null order are read one by one (the cheapest first reading). Repeated rows
@@ -266,11 +280,11 @@ def resolve_instants(
     col = lambda n: F.col(f"`{n}`")
     names, by = [f"_k{i}" for i in range(len(keys))], [f"_s{i}" for i in range(len(source))]
     base = df.select(*[col(k).alias(n) for k, n in zip(keys, names, strict=True)], *[col(s).alias(n) for s, n in zip(source, by, strict=True)], col(order).cast("long").alias("_order"), col(date).alias("_date"), _milliseconds(df, captured).alias("_captured"), col(zone).alias("_z"))
-    base = with_readings(base, F.col("_date"), F.col("_captured"), F.col("_z"), day_first, first_side)
+    base = with_readings(base, F.col("_date"), F.col("_captured"), F.col("_z"), day_first, first_side, pruned)
     named = lambda d: d.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], "utc_ms")
     # the reading is generated, not projected: a condition on it would else be pushed down, and with it all that it is made of
-    single = lambda d: d.select(*names, F.explode_outer(F.slice("_readings", 1, 1)).alias("_one")).select(*names, F.col("_one.ms").alias("utc_ms"))
-    if day_first is not None and first_side is not None:
+    single = lambda d: d.select(*names, F.explode_outer(F.slice("_readings", 1, 1)).alias("_one")).select(*names, F.when(_admitted(F.col("_one")), F.col("_one.ms")).alias("utc_ms"))
+    if pruned and day_first is not None and first_side is not None:
         return named(single(base))
     base = written(base.withColumn("_tie", F.xxhash64("_date")).select(*names, *by, "_order", "_tie", "_readings"), "readings")
     block = F.floor(F.col("_order") / stretch)

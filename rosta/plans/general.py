@@ -37,8 +37,8 @@ def dated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every dated row with its instant or null."""
-    return resolve_instants(dated_rows(spark, sf_dir), ["src", "row_id"], ["src", "origin"], "row_id", "date", "scraped_at", "zone")
+    """Every dated row with its instant or null, chosen by its source's chain among all readings; the stated rules are costs in it."""
+    return resolve_instants(dated_rows(spark, sf_dir), ["src", "row_id"], ["src", "origin"], "row_id", "date", "scraped_at", "zone", pruned=False)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

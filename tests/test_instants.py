@@ -188,3 +188,37 @@ def test_chain_against_the_rule_on_a_table(spark):
     decided = [k for k in ruled if ruled[k] is not None]
     same = sum(ruled[k] == chained[k] for k in decided)
     assert same >= 0.97 * len(decided)
+
+
+def test_p3_found_comes_through_the_chain(spark):
+    """The readings that the rules exclude are in the chain, most stretches are open, and what comes out is what the rules say."""
+    from rosta.operators.instants import RULED_OUT, with_readings
+    from rosta.plans.general import p3_found
+
+    folder = "/root/testdata/sf0.01"
+    found = p3_found(spark, folder)
+    assert "FlatMapGroupsInArrow" in found._jdf.queryExecution().toString()
+    rows = dated_rows(spark, folder).collect()
+    want = {(r.src, r.row_id, ms) for r in rows if (ms := brute(r.date, r.scraped_at, r.zone)) is not None}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    df = frame(spark, ["02.03.2024 10:00", "2024-02-03 10:00", "29.10.2023 02:30", "01.13.2024 10:00", "25.03.2024 10:00", "2024-02-30 10:00"])
+    costs = [[x.cost for x in r._readings] for r in with_readings(df, F.col("date"), F.lit(0), F.col("zone"), pruned=False).orderBy("id").collect()]
+    assert costs == [[0.0, RULED_OUT], [0.0, RULED_OUT], [0.0, RULED_OUT], [RULED_OUT], [0.0], []]
+
+
+def test_no_neighbours_outweigh_a_rule(spark):
+    """All neighbours speak for what the rule excludes; values with excluded readings only fix no instant; cuts do not matter."""
+    months = ["01.13.2024 10:00", "01.14.2024 10:00", "02.01.2024 10:00", "01.15.2024 10:00", "01.16.2024 10:00", "2024-13-01 10:00", "2023-10-29 02:30", "2023-10-29 02:10"]
+    df = frame(spark, months)
+    utc = lambda *at: int(datetime(*at, tzinfo=UTC).timestamp() * 1000)
+    sides = [utc(2023, 10, 29, 0, 30), utc(2023, 10, 29, 0, 10)]
+    want = [None, None, utc(2024, 1, 2, 9), None, None, None, *sides]
+    assert resolved(df, pruned=False) == want == resolved(df)
+    assert resolved(df, pruned=False, stretch=2, overlap=1) == want
+    assert resolved(df, pruned=False, day_first=False, first_side=False) == resolved(df, day_first=False, first_side=False)
+    unordered = df.withColumn("at_row", F.lit(None).cast("bigint"))
+    got = resolve_instants(unordered, ["id"], ["zone"], "at_row", "date", "at", "zone", pruned=False).orderBy("id").collect()
+    assert [r.utc_ms for r in got] == want
+    empty = resolve_instants(df.limit(0), ["id"], ["zone"], "id", "date", "at", "zone", pruned=False)
+    assert empty.columns == ["id", "utc_ms"] and empty.count() == 0
